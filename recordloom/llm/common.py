@@ -61,7 +61,7 @@ def whole_text(column: str = "text") -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of words of a text, as a long."""
-    trimmed = F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_GAP))).cast("long")
 
 
