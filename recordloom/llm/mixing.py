@@ -41,17 +41,18 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     weight = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
     rows = sources.withColumn("weight", weight.cast("double")).withColumn("limit", F.col("source_size") * F.lit(float(most)))
     rows = rows.withColumn("ratio", F.col("limit") / F.col("weight"))
-    by_ratio = Window.orderBy("ratio")
+    by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
     everything = Window.partitionBy(F.lit(1))
-    before = F.coalesce(F.sum("limit").over(by_ratio.rangeBetween(Window.unboundedPreceding, -1e-9)), F.lit(0.0))
-    after = F.sum("weight").over(by_ratio.rangeBetween(0, Window.unboundedFollowing))
+    before = F.coalesce(F.sum("limit").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    after = F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
     rows = rows.withColumn("level", (F.sum("source_size").over(everything) - before) / after)
-    level = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "level"))).over(everything)
+    rows = rows.withColumn("place", F.row_number().over(by_ratio))
+    level = F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("place", "level"))).over(everything)
     return rows.withColumn("target", F.least("limit", F.col("weight") * F.coalesce(level["level"], F.lit(0.0)))).select("source", "source_size", "target")
 
 
 def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """One row per source: source_size, target, repeats (whole passes), threshold and whether its own group is taken."""
+    """One row per source: source_size, target, repeats (whole passes), threshold, the words of the group at it and those that still fit."""
     sources = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     bounds = sources.withColumn("repeats", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     bounds = bounds.withColumn("rest", F.col("target") - F.col("repeats") * F.col("source_size")).withColumn("threshold", F.lit(0).cast("long"))
@@ -77,13 +78,25 @@ def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_
         if level < LEVELS:
             edge = bounds.select(F.col("source").alias("t"), (F.col("threshold") % (1 << BITS)).alias("edge"))
             rows = saved(rows.join(edge, F.col("source").eqNullSafe(F.col("t")) & (_bucket("h", level) == F.col("edge"))).select("source", "size", "h"), "mix-edge")
-    return bounds.withColumn("take", (F.col("group_size") > 0) & (F.col("group_size") <= 2 * F.col("rest"))).drop("rest", "group_size")
+    return bounds
+
+
+def _prefix(h: str) -> Column:
+    return F.shiftrightunsigned(F.col(h), 64 - BITS * LEVELS)
 
 
 def _times(h: str) -> Column:
-    prefix = F.shiftrightunsigned(F.col(h), 64 - BITS * LEVELS)
-    below = (prefix < F.col("threshold")) | ((prefix == F.col("threshold")) & F.col("take"))
-    return F.col("repeats") + below.cast("long")
+    """How often a whole document is taken; the one at the threshold if most of it fits."""
+    at = (_prefix(h) == F.col("threshold")) & (F.col("group_size") > 0) & (F.col("group_size") <= 2 * F.col("rest"))
+    return F.col("repeats") + ((_prefix(h) < F.col("threshold")) | at).cast("long")
+
+
+def _words(h: str) -> Column:
+    """Words taken; of the document at the threshold its first words that still fit."""
+    part = F.floor(F.col("size") * F.col("rest") / F.col("group_size"))
+    at = (_prefix(h) == F.col("threshold")) & (F.col("group_size") > 0)
+    once = F.when(_prefix(h) < F.col("threshold"), F.col("size")).when(at, part).otherwise(0)
+    return (F.col("repeats") * F.col("size") + once).cast("long")
 
 
 def _with_plan(rows: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -98,19 +111,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
     """One row per input row: doc_id, size, source_size, target and taken.
 
     ``docs`` needs doc_id, source and text. A document's size is its number of words (null text: 0);
-    ``taken`` is its size times how often the mix takes it, at most ``most`` times. A null
-    source is a source of its own, last in order. Documents of one source that repeat both doc_id
-    and text are taken equally often. Each source comes as near its target as whole documents allow at the
-    threshold. The choice depends on identifiers and texts alone, so reruns agree. Without
+    ``taken`` is the number of its words that the mix takes, repeats counted, at most ``most`` times its size.
+    All documents of a source are taken equally often, those below its threshold once more, and of the one at
+    the threshold the first words that still fit. A null source is a source of its own, last in order.
+    Rows of one source that repeat both doc_id and text are treated alike. The choice depends on identifiers and texts alone, so reruns agree. Without
     documents, or without words, nothing is taken.
     """
     sizes = _sizes(docs)
     rows = _with_plan(sizes, plan(sizes, weights, most))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * _times("h")).alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", _words("h").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as the mix takes it."""
+    """The mix itself: whole rows of ``docs``, each as often as the mix takes it; the one at a threshold if at least half of it fits."""
     columns = docs.columns
     rows = _with_plan(docs.withColumn("_h", _hash()), plan(_sizes(docs), weights, most)).withColumn("_times", _times("_h")).where("_times > 0")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*columns)
