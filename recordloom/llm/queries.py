@@ -6,8 +6,9 @@ from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .jaccard_join import op5_ngram_jaccard_join
 from .mixing import op6_mix_sources
 from .packing import op8_packing
+from .quality import op7_quality_classifier
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_ngram_jaccard_join, op6_mix_sources, op8_packing)}
+QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_ngram_jaccard_join, op6_mix_sources, op7_quality_classifier, op8_packing)}
 
 #: DuckDB SQL of those queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
