@@ -8,8 +8,9 @@ from .mixing import op6_mix_sources
 from .packing import op8_packing
 from .quality import op7_quality_classifier
 from .records import op3_token_records
+from .secrets import op1_secret_scan
 
-QUERIES = {f.__name__: f for f in (op3_token_records, op4_exact_dedup, op5_ngram_jaccard_join, op6_mix_sources, op7_quality_classifier, op8_packing)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_token_records, op4_exact_dedup, op5_ngram_jaccard_join, op6_mix_sources, op7_quality_classifier, op8_packing)}
 
 #: DuckDB SQL of those queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
