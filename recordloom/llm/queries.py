@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .html_wrappers import op10_html_wrappers
 from .jaccard_join import op5_ngram_jaccard_join
 from .mixing import op6_mix_sources
 from .packing import op8_packing
@@ -10,7 +11,7 @@ from .quality import op7_quality_classifier
 from .records import op3_token_records
 from .secrets import op1_secret_scan
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_token_records, op4_exact_dedup, op5_ngram_jaccard_join, op6_mix_sources, op7_quality_classifier, op8_packing)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_token_records, op4_exact_dedup, op5_ngram_jaccard_join, op6_mix_sources, op7_quality_classifier, op8_packing, op10_html_wrappers)}
 
 #: DuckDB SQL of those queries that SQL expresses on whole tables.
 ORACLE_SQL: dict[str, str] = {"op4_exact_dedup": OP4_SQL}
