@@ -41,10 +41,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], lower: bool = True, places: bool = False) -> tuple[np.ndarray, ...]:
     """Hashes of all words of ``texts`` in order, and for each text the index of its first word (one more at the end).
 
-    ``lower`` maps A-Z to a-z first; other letters keep their case.
+    ``lower`` maps A-Z to a-z first; other letters keep their case. With ``places``, also the first
+    byte of each word in the texts joined by line breaks.
     """
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     sizes = np.fromiter((len(r) + 1 for r in raw), dtype=np.int64, count=len(raw))
@@ -60,7 +61,7 @@ def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.nd
     np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
     hashes = mix((total[ends] - total[begins]) * down[begins])
     firsts = np.searchsorted(begins, np.concatenate(([0], np.cumsum(sizes))))
-    return hashes, firsts
+    return (hashes, firsts, begins) if places else (hashes, firsts)
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
