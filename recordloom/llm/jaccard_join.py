@@ -35,8 +35,10 @@ SPARE = 2
 BAND = Fraction(3, 2)
 #: Words of the folded sketch that goes with a join key.
 FOLD = 16
+#: A side of a join is broadcast when it is counted to have at most so many rows of a few numbers each (some 40 MB).
+BROADCAST_ROWS = 1_000_000
 
-SKETCHES = "doc_id long, n long, a long, b long, sketches array<struct<band:int,bits:array<long>,fold:array<long>>>"
+SKETCHES = "doc_id long, n long, a long, b long, sketches array<struct<band:int,bits:array<long>>>"
 
 
 def most_apart(total: int, percent: int) -> int:
@@ -62,16 +64,15 @@ def sketch(elements: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(flips, bitorder="little").view("<u8")
 
 
-def folded(bits: np.ndarray) -> np.ndarray:
+def folded(bits: Column) -> Column:
     """XOR of the sketch's words modulo FOLD: again a parity sketch."""
-    padded = np.zeros(-(-len(bits) // FOLD) * FOLD, dtype=np.uint64)
-    padded[: len(bits)] = bits
-    return np.bitwise_xor.reduce(padded.reshape(-1, FOLD), axis=0)
+    every = lambda k: F.filter(bits, lambda x, i: i % FOLD == k)
+    return F.transform(F.sequence(F.lit(0), F.lit(FOLD - 1)), lambda k: F.aggregate(every(k), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x)))
 
 
 def sketched(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """doc_id, set size, a 128-bit digest of the set, and its sketches."""
-    inner = pa.struct([("band", pa.int32()), ("bits", pa.list_(pa.int64())), ("fold", pa.list_(pa.int64()))])
+    inner = pa.struct([("band", pa.int32()), ("bits", pa.list_(pa.int64()))])
     for batch, texts in slices(batches):
         words, first = word_hashes(texts)
         n, a, b, out = [], [], [], []
@@ -83,16 +84,15 @@ def sketched(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
             out.append([])
             for band, count in bands_of(len(s), percent) if len(s) else ():
                 if count > 1 + SPARE:  # else only equal sets link, and those are one class
-                    bits = sketch(s, count)
-                    out[-1].append((band, bits.view(np.int64).tolist(), folded(bits).view(np.int64).tolist()))
-        rows = pa.array([[{"band": k, "bits": x, "fold": y} for k, x, y in r] for r in out], pa.list_(inner))
+                    out[-1].append({"band": band, "bits": sketch(s, count).view(np.int64)})
+        rows = pa.array(out, pa.list_(inner))
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), rows], names=["doc_id", "n", "a", "b", "sketches"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch, texts in slices(batches):
         words, first = word_hashes(texts)
-        sets = [shingles(words[first[i] : first[i + 1]], width).astype("<u8").tobytes() for i in range(len(texts))]
+        sets = [shingles(words[first[i] : first[i + 1]], width).astype("<u8").tobytes() for i in range(len(texts))]  # sorted
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sets, pa.binary())], names=["node", "elements"])
 
 
@@ -115,27 +115,37 @@ def _may_link(na: str, fa: str, nb: str, fb: str, percent: int) -> Column:
     return (small * 100 >= large * percent) & (apart <= bound)
 
 
+def _only(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """``rows`` with (or without) a match in ``keys``; keys are broadcast if they are counted to be few, else both sides are shuffled."""
+    few = keys.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(keys) if few else keys, on, how)
+
+
 def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """(node, root) for each class of equal sets that links with another; a class is named by its smallest doc_id."""
-    spark = classes.sparkSession
-    keys = classes.select("node", "n", F.explode("sketches").alias("s")).select("node", "n", "s.band", "s.fold", F.posexplode("s.bits").alias("at", "word"), F.size(F.filter("s.bits", lambda x: x == 0)).alias("empty"))
+    keys = classes.select("node", F.explode("sketches").alias("s")).select("node", "s.band", F.size(F.filter("s.bits", lambda x: x == 0)).alias("empty"), F.posexplode("s.bits").alias("at", "word"))
     keys = keys.where((F.col("word") != 0) | (F.col("empty") > SPARE)).select(F.xxhash64("band", "at", "word").alias("key"), "node", "band")
     same = Window.partitionBy("key")
     shared = saved(keys.withColumn("many", F.count("*").over(same)).where("many > 1"), "shared-keys")
-    folds = classes.select("node", "n", F.explode("sketches").alias("s")).select("node", "n", F.col("s.band").alias("band"), F.col("s.fold").alias("fold"))
-    weight = shared.groupBy("node").agg(F.sum("many").alias("weight"))
-    members = saved(shared.join(weight, "node").join(folds, ["node", "band"]).select("key", "node", "n", "fold", "weight"), "key-members")
-
-    # hubs: every class against the one of its key that agrees most elsewhere
-    hub = members.groupBy("key").agg(F.max_by(F.struct("node", "n", "fold"), F.struct("weight", F.negative("node"))).alias("h"))
-    star = members.join(hub, "key").select("node", "n", "fold", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.fold").alias("hub_fold"))
-    star = star.where((F.col("node") != F.col("hub")) & _may_link("n", "fold", "hub_n", "hub_fold", percent))
+    weight = saved(shared.groupBy("node").agg(F.sum("many").alias("weight")), "weights")
+    folds = _only(classes, weight.select("node"), ["node"]).select("node", "n", F.explode("sketches").alias("s"))
+    folds = saved(folds.select("node", F.col("s.band").alias("band"), "n", folded(F.col("s.bits")).alias("fold")), "folds")
+
+    def sides(rows: DataFrame, u: str, v: str) -> DataFrame:
+        """``rows`` with sizes and folded sketches of both classes, where these allow a link."""
+        for c in (u, v):
+            rows = rows.join(folds.select(F.col("node").alias(c), "band", F.col("n").alias(f"n_{c}"), F.col("fold").alias(f"fold_{c}")), [c, "band"])
+        return rows.where(_may_link(f"n_{u}", f"fold_{u}", f"n_{v}", f"fold_{v}", percent))
+
+    # hubs: every class against one class, of those it shares a key with, that agrees most elsewhere
+    hub = F.max(F.struct("weight", F.negative("node").alias("minus"))).over(same)
+    star = shared.join(weight, "node").withColumn("h", hub).select("node", "band", F.col("h.weight").alias("weight"), F.negative("h.minus").alias("hub")).where("node <> hub").distinct()
+    star = sides(star, "node", "hub").groupBy("node").agg(F.max_by("hub", F.struct("weight", F.negative("hub"))).alias("hub"))
     pairs = saved(star.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct(), "hub-pairs")
 
-    needed = members.select("node").distinct()
-    texts = docs.join(needed, docs["doc_id"] == needed["node"]).select("node", "text")
-    bounded_batches(spark)
-    sets = saved(texts.mapInArrow(lambda it: _sets(it, width), "node long, elements binary"), "sets").dropDuplicates(["node"])
+    texts = _only(docs.withColumnRenamed("doc_id", "node"), weight.select("node"), ["node"]).select("node", "text")
+    bounded_batches(docs.sparkSession)
+    sets = saved(texts.mapInArrow(lambda it: _sets(it, width), "node long, elements binary"), "sets")
 
     def verified(candidates: DataFrame) -> DataFrame:
         left = sets.select(F.col("node").alias("u"), F.col("elements").alias("x"))
@@ -146,12 +156,11 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int
     roots = components(links, "u", "v")
 
     # the rest: classes of a key that hubs have not brought together
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    span = Window.partitionBy("key")
-    placed = saved(placed.withColumn("lo", F.min("root").over(span)).withColumn("hi", F.max("root").over(span)).where("lo < hi").drop("lo", "hi", "weight"), "placed")
-    a = placed.select(*[F.col(c).alias(f"{c}_u") for c in ("key", "node", "n", "fold", "root")])
-    b = placed.select(*[F.col(c).alias(f"{c}_v") for c in ("key", "node", "n", "fold", "root")])
-    rest = a.join(b, (F.col("key_u") == F.col("key_v")) & (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link("n_u", "fold_u", "n_v", "fold_v", percent))
+    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = placed.withColumn("lo", F.min("root").over(same)).withColumn("hi", F.max("root").over(same)).where("lo < hi")
+    placed = saved(placed.join(folds, ["node", "band"]).select("key", "node", "n", "fold", "root"), "placed")
+    a, b = (placed.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "fold", "root")]) for x in "uv")
+    rest = a.join(b, (a["key"] == b["key"]) & (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link("n_u", "fold_u", "n_v", "fold_v", percent))
     rest = saved(rest.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"), "other-pairs")
     return components(links.union(verified(rest)), "u", "v")
 
@@ -165,7 +174,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5) -> Da
 
     A text of fewer than ``width`` words has its whole sequence as one shingle. A null text, an empty one
     and one without words have no shingle, link with nothing and keep their own doc_id. Rows that repeat
-    a doc_id are returned once each, and count as documents of that id. Rows with a null doc_id link
+    a doc_id are returned once each; if their texts differ, the id links where one of them does. Rows with a null doc_id link
     with nothing and have a null component_id. An empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -174,7 +183,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5) -> Da
     marks = saved(docs.mapInArrow(lambda it: sketched(it, width, percent), SKETCHES), "sketches")
     sets = marks.where("n > 0 and doc_id is not null")
     node = sets.groupBy("a", "b", "n").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    classes = saved(sets.join(node.select("node", "a", "b", "n"), ["a", "b", "n"]).where("doc_id = node").dropDuplicates(["node"]).select("node", "n", "sketches"), "classes")
+    node = saved(node, "classes")
+    copies = sets.select("doc_id", "a", "b", "n").join(node.where("copies > 1"), ["a", "b", "n"]).where("doc_id <> node").select("doc_id", "a", "b").distinct()
+    classes = _only(sets, saved(copies, "copies"), ["doc_id", "a", "b"], "left_anti").select(F.col("doc_id").alias("node"), "n", "sketches")
     roots = linked_classes(classes, docs, percent, width)
     named = node.where("copies > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     alone = roots.join(node.where("copies = 1").select("node"), "node").select(F.col("node").alias("doc_id"), F.col("root").alias("alone"))
