@@ -1 +1,6 @@
+"""Registered queries of the record operators."""
 
+from . import version_queries  # noqa: F401
+from .registry import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
