@@ -37,7 +37,7 @@ def date_pair(c: Column) -> Column:
     """``struct<date, precision>``: YYYY-MM-DD is a DAY, YYYY-MM the first of its MONTH, all else null. Dates that don't exist are null."""
     word = F.trim(c)
     day, month = word.rlike(r"^\d{4}-\d{2}-\d{2}$"), word.rlike(r"^\d{4}-\d{2}$")
-    date = F.when(day, F.try_to_date(word, F.lit("yyyy-MM-dd"))).when(month, F.try_to_date(F.concat(word, F.lit("-01")), F.lit("yyyy-MM-dd")))
+    date = F.when(day, F.try_to_date(word, "yyyy-MM-dd")).when(month, F.try_to_date(F.concat(word, F.lit("-01")), "yyyy-MM-dd"))
     return F.struct(date.alias("date"), F.when(date.isNotNull(), F.when(day, F.lit("DAY")).otherwise(F.lit("MONTH"))).alias("precision"))
 
 
@@ -104,7 +104,7 @@ def combo_names(c: Column) -> Column:
 def age_range(value: Column, unit: Column, standard: Column) -> Column:
     """">=18 Years | Adult" from an age and an array of age groups; null if neither is there."""
     least = F.when(value.isNotNull() & (unit != ""), F.concat(F.lit(">="), value.cast("string"), F.lit(" "), F.initcap(unit)))
-    groups = F.filter(F.transform(F.coalesce(standard, F.array().cast("array<string>")), F.trim), lambda s: s != "")
+    groups = F.filter(F.transform(F.coalesce(standard, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda s: s != "")
     parts = F.array_compact(F.array_distinct(F.concat(F.array(least), groups)))
     return F.nullif(F.array_join(parts, " | "), F.lit(""))
 

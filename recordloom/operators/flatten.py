@@ -122,7 +122,7 @@ def organized(raw: DataFrame, key: str = "nct_id", doc: str = "doc") -> DataFram
         "collaborators": distinct_in_order(F.transform(p(f"{sp}.collaborators"), lambda c: F.trim(c["name"]))),
         "brief_summary": p("descriptionModule.briefSummary"),
         "detailed_description": p("descriptionModule.detailedDescription"),
-        "conditions": distinct_in_order(F.transform(p("conditionsModule.conditions"), F.trim)),
+        "conditions": distinct_in_order(F.transform(p("conditionsModule.conditions"), lambda x: F.trim(x))),
         "study_type": p(f"{de}.studyType"),
         "phases": F.coalesce(phases(p(f"{de}.phases")), F.lit("")),
         "allocation": p(f"{de}.designInfo.allocation"),

@@ -51,20 +51,20 @@ def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, patter
     texts = rows.select(F.col(key), text.alias("_text"))
     many = keywords.limit(PREFILTER_FROM + 1).count() > PREFILTER_FROM
     if not many:
-        found = texts.join(F.broadcast(keywords), F.expr("true")).where(F.col("_text").rlike(pattern(F.col("term"))))
+        found = texts.join(F.broadcast(keywords), F.expr("true")).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
         return found.drop("_text").distinct()
     word = r"[^\p{L}\p{N}]+"
     lead = keywords.withColumn("_lead", F.element_at(F.filter(F.split(F.lower("term"), word), lambda w: w != ""), 1))
     words = texts.select(key, "_text", F.explode(F.array_distinct(F.split(F.lower("_text"), word))).alias("_lead"))
     found = words.join(small(lead.where("_lead is not null")), "_lead")
-    loose = texts.join(F.broadcast(lead.where("_lead is null").limit(PREFILTER_FROM)), F.expr("true")).select(key, "_text", "_lead", *keywords.columns)
-    found = found.select(key, "_text", "_lead", *keywords.columns).unionByName(loose).where(F.col("_text").rlike(pattern(F.col("term"))))
+    loose = texts.join(small(lead.where("_lead is null")), F.expr("true")).select(key, "_text", "_lead", *keywords.columns)
+    found = found.select(key, "_text", "_lead", *keywords.columns).unionByName(loose).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
     return found.drop("_text", "_lead").distinct()
 
 
 def having_keyword(rows: DataFrame, text: Column, keywords: DataFrame) -> DataFrame:
     """The rows whose text has any keyword as a whole word."""
-    return rows.withColumn("_text", text).join(small(keywords.select("term")), F.col("_text").rlike(whole_word(F.col("term"))), "left_semi").drop("_text")
+    return rows.withColumn("_text", text).join(small(keywords.select("term")), F.rlike(F.col("_text"), whole_word(F.col("term"))), "left_semi").drop("_text")
 
 
 def tagged(rows: DataFrame, key: str, text: Column, terms: DataFrame, out: str = "tags") -> DataFrame:

@@ -43,7 +43,7 @@ def list_canonical(rows: DataFrame, key: str, names: Column, aliases: DataFrame,
 
 def distinct_in_order(values: Column) -> Column:
     """An array's values, repetitions in any case dropped, first seen first."""
-    lower = F.transform(values, F.lower)
+    lower = F.transform(values, lambda x: F.lower(x))
     return F.filter(values, lambda v, i: F.array_position(lower, F.lower(v)) == i + 1)
 
 

@@ -215,4 +215,4 @@ def streamed_version_pairs(spark, d):
         increments.drain(stream, f"{home}/checkpoint", lambda batch, n: batch.write.mode("overwrite").parquet(f"{home}/out/batch={n}")).awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    return spark.read.schema(increments.PAIRS).parquet(f"{home}/out").withColumn("id", F.col("id").cast("long"))
+    return spark.read.schema(increments.PAIRS).parquet(f"{home}/out").select(F.col("id").cast("long").alias("id"), "prev_version", "curr_version")
