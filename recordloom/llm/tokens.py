@@ -8,14 +8,12 @@ worker keeps the ids of the words that it saw, in two generations of bounded siz
 from __future__ import annotations
 
 import os
-import re
+from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np  # noqa: E402
 
-#: Runs of blanks, and blanks at either end, which byte-level patterns treat together with their neighbours.
-_ODD_BLANKS = re.compile(r"\s\s|\A\s|\s\Z")
 _TAIL = ".,!?;:*#$%&|"
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -34,7 +32,7 @@ class Encoder:
     letters are lowered and blanks dropped.
     """
 
-    def __init__(self, path: str, leading_blank: bool, keep: int = 250_000):
+    def __init__(self, path: str, leading_blank: bool, keep: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -44,36 +42,43 @@ class Encoder:
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.letters = _byte_letters()
+        self.model = self.tokenizer.model
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _model(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype=self.dtype).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _fill(self, items: set[str]) -> None:
         """Put the ids of new words into the cache. A word stands for itself after a blank; after a line break it starts with one."""
+        new, old, blank = self.new, self.old, self.letters[32] if self.leading_blank else ""
         rest = []
         for item in items:
-            known = self.old.get(item)
-            if known is not None:
-                self.new[item] = known
-                continue
-            core = item.rstrip(_TAIL)
-            head = ""
-            if self.leading_blank:
-                head, core = ("\n", core[1:]) if core[:1] == "\n" else (" ", core)
-            if core.isalpha() and (core.isascii() or max(core) <= "\xff"):
-                raw = (core if self.leading_blank else core.lower()).encode()
-                piece = "".join(map(self.letters.__getitem__, raw))
-                tail = item[len(item.rstrip(_TAIL)) :]
-                ids = self._part(head) + self._model(piece) if head == "\n" else self._model((self.letters[32] if head else "") + piece)
-                self.new[item] = ids + (self._part(tail) if tail else b"")
-            else:
-                rest.append(item)
+            known = old.get(item)
+            if known is None:
+                core = item.rstrip(_TAIL)
+                tail = item[len(core) :]
+                known = (new.get(core) or old.get(core)) if tail and core else None
+                if known is None:
+                    word, after_break = (core[1:], True) if self.leading_blank and core[:1] == "\n" else (core, False)
+                    if word.isascii() and word.isalpha():
+                        piece = word if self.leading_blank else word.lower()
+                    elif word.isalpha() and max(word) <= "\xff":
+                        piece = (word if self.leading_blank else word.lower()).encode().decode("latin-1").translate(self.letters)
+                    else:
+                        rest.append(item)
+                        continue
+                    known = self._part("\n") + self._model(piece) if after_break else self._model(blank + piece)
+                    if tail:
+                        new[core] = known
+                if tail:
+                    known += self._part(tail)
+            new[item] = known
         if rest:
             texts = [x if not self.leading_blank or x[0] == "\n" else " " + x for x in rest]
-            self.new.update(zip(rest, self._whole(texts), strict=True))
+            new.update(zip(rest, self._whole(texts), strict=True))
 
     def _part(self, text: str) -> bytes:
         """A line break or a run of punctuation by itself."""
@@ -88,7 +93,7 @@ class Encoder:
         except KeyError:
             if len(self.new) > self.keep:
                 self.old, self.new = self.new, {"": b""}
-            self._fill({x for x in items if x not in self.new})
+            self._fill(set(items).difference(self.new))
             return b"".join(map(self.new.__getitem__, items))
 
     def encode(self, text: str) -> np.ndarray:
@@ -96,8 +101,8 @@ class Encoder:
             return np.empty(0, dtype=self.dtype)
         if not self.leading_blank:
             ids = self._joined(text.replace("\n", " ").split(" "))
-        elif _ODD_BLANKS.search(text):
-            ids = self._whole([text])[0]
+        elif len(text.split()) != text.count(" ") + text.count("\n") + 1:
+            ids = self._whole([text])[0]  # runs of blanks, or blanks at an end, belong together
         else:
             first, *items = text.replace("\n", " \n").split(" ")
             ids = self._whole([first])[0] + self._joined(items)
