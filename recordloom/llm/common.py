@@ -65,6 +65,17 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_GAP))).cast("long")
 
 
+def sample_texts(docs: DataFrame, documents: int) -> list[str]:
+    """The texts of at most ``documents`` documents, those of the smallest hashed doc_id, to fit a model on.
+
+    Identifiers are chosen first, so that no text moves but the chosen ones.
+    """
+    chosen = docs.select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(documents)
+    rows = docs.join(F.broadcast(chosen), docs["doc_id"].cast("long") == chosen["_id"]).select("_id", whole_text().alias("text"))
+    rows = rows.groupBy("_id").agg(F.min("text").alias("text"))
+    return [r["text"] for r in sorted(rows.collect(), key=lambda r: r["_id"])]
+
+
 def slices(batches: Iterator[pa.RecordBatch], budget: int = 1 << 20, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches to pieces of about ``budget`` bytes of text: one piece's rows, and its texts as strings."""
     for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, slices, table, whole_text
+from .common import bounded_batches, sample_texts, slices, table, whole_text
 from .wordhash import mix, word_hashes
 
 # Sentences by which licences are commonly declared.
@@ -185,8 +185,7 @@ SCHEMA = "doc_id long, n_sentences long, n_licence long, n_unknown long, familie
 
 def fitted(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Classifier:
     """The classifier, with ordinary sentences from at most ``fit_documents`` of these documents."""
-    sample = docs.select(F.xxhash64("doc_id").alias("h"), whole_text().alias("text")).orderBy("h", F.xxhash64("text")).limit(fit_documents)
-    return train([r["text"] for r in sample.collect()])
+    return train(sample_texts(docs, fit_documents))
 
 
 def scan(docs: DataFrame, model: Classifier) -> DataFrame:

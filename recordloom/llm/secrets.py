@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, slices, table, whole_text
+from .common import bounded_batches, sample_texts, slices, table, whole_text
 
 KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -200,8 +200,7 @@ def _scanned(batches: Iterator[pa.RecordBatch], network: Network) -> Iterator[pa
 
 def fitted(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Network:
     """The network for these documents, fitted on at most ``fit_documents`` of them."""
-    sample = docs.select(F.xxhash64("doc_id").alias("h"), whole_text().alias("text")).orderBy("h", F.xxhash64("text")).limit(fit_documents)
-    return train([r["text"] for r in sample.collect()])
+    return train(sample_texts(docs, fit_documents))
 
 
 def scan(docs: DataFrame, network: Network) -> DataFrame:
