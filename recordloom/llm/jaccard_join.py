@@ -1,18 +1,19 @@
 """N-gram Jaccard join by parity sketches.
 
-Every text becomes its set of word shingles. A parity sketch is a row of 64-bit words: each shingle
-flips one bit, so two sketches differ in at most as many bits as the sets differ in elements. Two
-sets of sizes a and b with a Jaccard similarity of at least t differ in at most
-``(a + b) * (1 - t) / (1 + t)`` elements. Texts of one size band have sketches of the same number of
-words, more by ``SPARE`` + 1 than that bound for the band, so linked texts agree in more than ``SPARE``
-of them (pigeonhole): the words themselves are the join keys. Texts at the upper end of a band
-also enter the next band, so that no admissible pair is parted by a band's edge.
-
-Words without a flipped bit are no keys, unless a sketch has more than ``SPARE`` of them: then they are
+Every text becomes its set of word shingles. A parity sketch is a long row of bits of which each shingle
+flips one, so two sketches differ in at most as many bits as the sets differ in elements. Two sets of
+sizes a and b with a Jaccard similarity of at least t differ in at most ``(a + b) * (1 - t) / (1 + t)``
+elements. The sketch is cut to blocks of 2**32 bits, one block for every shingle's hash modulo their
+number; texts of one size band have the same number of blocks, more by ``SPARE`` + 1 than the bound for the
+band, so linked texts agree in more than ``SPARE`` of them (pigeonhole), and the blocks are the join keys. A block is
+nearly empty, so it is kept as the XOR of hashes of its set bits, which flips cancel in just as they do in the
+block. Texts at the upper end of a band also enter the next band, so that no admissible pair is parted by a band's edge.
+
+Blocks without a flipped bit are no keys, unless a sketch has more than ``SPARE`` of them: then they are
 kept, so nothing is lost. Copies are one class before anything is joined, and a class joins by
-its hub first: of the classes that agree in a word, the one that agrees most often elsewhere. Only
-classes that hubs leave in different components are compared with each other, and only where folded
-sketches allow a link. Every link is verified on the exact sets.
+its hub first: of the classes that agree in a block, the one that agrees most often elsewhere. Only
+classes that hubs leave in different components are compared with each other, and only where a second, short
+parity sketch allows a link by its Hamming distance. Every link is verified on the exact sets.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ from .wordhash import mix, shingles, word_hashes
 SPARE = 2
 #: Upper end of a band over its lower end.
 BAND = Fraction(3, 2)
-#: Words of the folded sketch that goes with a join key.
-FOLD = 16
+#: 64-bit words of the short sketch that goes with a text.
+SHORT = 16
 #: A side of a join is broadcast when it is counted to have at most so many rows of a few numbers each (some 40 MB).
 BROADCAST_ROWS = 1_000_000
 
-SKETCHES = "doc_id long, n long, a long, b long, sketches array<struct<band:int,bits:array<long>>>"
+SKETCHES = "doc_id long, n long, a long, b long, short array<long>, sketches array<struct<band:int,blocks:array<long>>>"
 
 
 def most_apart(total: int, percent: int) -> int:
@@ -57,36 +58,38 @@ def bands_of(n: int, percent: int) -> list[tuple[int, int]]:
     return [(k, most_apart(2 * math.floor(BAND ** (k + 1)), percent) + 1 + SPARE) for k in found]
 
 
-def sketch(elements: np.ndarray, words: int) -> np.ndarray:
-    """The parity sketch of a set of hashes."""
-    where = (elements % np.uint64(words)).astype(np.int64) * 64 + (elements >> np.uint64(58)).astype(np.int64)
-    flips = (np.bincount(where, minlength=words * 64) & 1).astype(np.uint8)
-    return np.packbits(flips, bitorder="little").view("<u8")
+def blocks(elements: np.ndarray, count: int) -> np.ndarray:
+    """The blocks of the parity sketch of a set of hashes, each as the XOR of its set bits' hashes."""
+    at = elements % np.uint64(count)
+    order = np.argsort(at, kind="stable")
+    first = np.flatnonzero(np.diff(at[order].astype(np.int64), prepend=-1))
+    found = np.zeros(count, dtype=np.uint64)
+    found[at[order][first]] = np.bitwise_xor.reduceat(mix(elements >> np.uint64(32))[order], first)
+    return found
 
 
-def folded(bits: Column) -> Column:
-    """XOR of the sketch's words modulo FOLD: again a parity sketch."""
-    every = lambda k: F.filter(bits, lambda x, i: i % FOLD == k)
-    return F.transform(F.sequence(F.lit(0), F.lit(FOLD - 1)), lambda k: F.aggregate(every(k), F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x)))
+def short_sketch(elements: np.ndarray) -> np.ndarray:
+    """A parity sketch of SHORT words."""
+    flips = np.bincount((elements >> np.uint64(40)).astype(np.int64) % (SHORT * 64), minlength=SHORT * 64) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view("<u8")
 
 
 def sketched(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """doc_id, set size, a 128-bit digest of the set, and its sketches."""
-    inner = pa.struct([("band", pa.int32()), ("bits", pa.list_(pa.int64()))])
+    inner = pa.struct([("band", pa.int32()), ("blocks", pa.list_(pa.int64()))])
     for batch, texts in slices(batches):
         words, first = word_hashes(texts)
-        n, a, b, out = [], [], [], []
+        n, a, b, short, out = [], [], [], [], []
         for i in range(len(texts)):
             s = shingles(words[first[i] : first[i + 1]], width)
             n.append(len(s))
             a.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
             b.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
-            out.append([])
-            for band, count in bands_of(len(s), percent) if len(s) else ():
-                if count > 1 + SPARE:  # else only equal sets link, and those are one class
-                    out[-1].append({"band": band, "bits": sketch(s, count).view(np.int64)})
-        rows = pa.array(out, pa.list_(inner))
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), rows], names=["doc_id", "n", "a", "b", "sketches"])
+            short.append(short_sketch(s).view(np.int64))
+            bands = [(k, c) for k, c in bands_of(len(s), percent) if c > 1 + SPARE] if len(s) else []  # else only equal sets link, and those are one class
+            out.append([{"band": k, "blocks": blocks(s, c).view(np.int64)} for k, c in bands])
+        columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(short, pa.list_(pa.int64())), pa.array(out, pa.list_(inner))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "a", "b", "short", "sketches"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -108,7 +111,7 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 
 def _may_link(na: str, fa: str, nb: str, fb: str, percent: int) -> Column:
-    """Whether sizes and folded sketches allow a link."""
+    """Whether sizes and short sketches allow a link."""
     apart = F.aggregate(F.zip_with(fa, fb, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     bound = F.floor((F.col(na) + F.col(nb)) * (100 - percent) / F.lit(100 + percent))
     small, large = F.least(na, nb), F.greatest(na, nb)
@@ -123,23 +126,22 @@ def _only(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi
 
 def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """(node, root) for each class of equal sets that links with another; a class is named by its smallest doc_id."""
-    keys = classes.select("node", F.explode("sketches").alias("s")).select("node", "s.band", F.size(F.filter("s.bits", lambda x: x == 0)).alias("empty"), F.posexplode("s.bits").alias("at", "word"))
-    keys = keys.where((F.col("word") != 0) | (F.col("empty") > SPARE)).select(F.xxhash64("band", "at", "word").alias("key"), "node", "band")
+    keys = classes.select("node", F.explode("sketches").alias("s")).select("node", "s.band", F.size(F.filter("s.blocks", lambda x: x == 0)).alias("empty"), F.posexplode("s.blocks").alias("at", "block"))
+    keys = keys.where((F.col("block") != 0) | (F.col("empty") > SPARE)).select(F.xxhash64("band", "at", "block").alias("key"), "node")
     same = Window.partitionBy("key")
     shared = saved(keys.withColumn("many", F.count("*").over(same)).where("many > 1"), "shared-keys")
     weight = saved(shared.groupBy("node").agg(F.sum("many").alias("weight")), "weights")
-    folds = _only(classes, weight.select("node"), ["node"]).select("node", "n", F.explode("sketches").alias("s"))
-    folds = saved(folds.select("node", F.col("s.band").alias("band"), "n", folded(F.col("s.bits")).alias("fold")), "folds")
+    short = saved(_only(classes, weight.select("node"), ["node"]).select("node", "n", "short"), "short-sketches")
 
     def sides(rows: DataFrame, u: str, v: str) -> DataFrame:
-        """``rows`` with sizes and folded sketches of both classes, where these allow a link."""
+        """``rows`` with sizes and short sketches of both classes, where these allow a link."""
         for c in (u, v):
-            rows = rows.join(folds.select(F.col("node").alias(c), "band", F.col("n").alias(f"n_{c}"), F.col("fold").alias(f"fold_{c}")), [c, "band"])
-        return rows.where(_may_link(f"n_{u}", f"fold_{u}", f"n_{v}", f"fold_{v}", percent))
+            rows = rows.join(short.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("short").alias(f"short_{c}")), c)
+        return rows.where(_may_link(f"n_{u}", f"short_{u}", f"n_{v}", f"short_{v}", percent))
 
     # hubs: every class against one class, of those it shares a key with, that agrees most elsewhere
     hub = F.max(F.struct("weight", F.negative("node").alias("minus"))).over(same)
-    star = shared.join(weight, "node").withColumn("h", hub).select("node", "band", F.col("h.weight").alias("weight"), F.negative("h.minus").alias("hub")).where("node <> hub").distinct()
+    star = shared.join(weight, "node").withColumn("h", hub).select("node", F.col("h.weight").alias("weight"), F.negative("h.minus").alias("hub")).where("node <> hub").distinct()
     star = sides(star, "node", "hub").groupBy("node").agg(F.max_by("hub", F.struct("weight", F.negative("hub"))).alias("hub"))
     pairs = saved(star.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct(), "hub-pairs")
 
@@ -158,9 +160,9 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int
     # the rest: classes of a key that hubs have not brought together
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = placed.withColumn("lo", F.min("root").over(same)).withColumn("hi", F.max("root").over(same)).where("lo < hi")
-    placed = saved(placed.join(folds, ["node", "band"]).select("key", "node", "n", "fold", "root"), "placed")
-    a, b = (placed.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "fold", "root")]) for x in "uv")
-    rest = a.join(b, (a["key"] == b["key"]) & (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link("n_u", "fold_u", "n_v", "fold_v", percent))
+    placed = saved(placed.join(short, "node").select("key", "node", "n", "short", "root"), "placed")
+    a, b = (placed.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "short", "root")]) for x in "uv")
+    rest = a.join(b, (a["key"] == b["key"]) & (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link("n_u", "short_u", "n_v", "short_v", percent))
     rest = saved(rest.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"), "other-pairs")
     return components(links.union(verified(rest)), "u", "v")
 
@@ -185,7 +187,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5) -> Da
     node = sets.groupBy("a", "b", "n").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     node = saved(node, "classes")
     copies = sets.select("doc_id", "a", "b", "n").join(node.where("copies > 1"), ["a", "b", "n"]).where("doc_id <> node").select("doc_id", "a", "b").distinct()
-    classes = _only(sets, saved(copies, "copies"), ["doc_id", "a", "b"], "left_anti").select(F.col("doc_id").alias("node"), "n", "sketches")
+    classes = _only(sets, saved(copies, "copies"), ["doc_id", "a", "b"], "left_anti").select(F.col("doc_id").alias("node"), "n", "short", "sketches")
     roots = linked_classes(classes, docs, percent, width)
     named = node.where("copies > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     alone = roots.join(node.where("copies = 1").select("node"), "node").select(F.col("node").alias("doc_id"), F.col("root").alias("alone"))
