@@ -62,9 +62,12 @@ def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, patter
     return found.drop("_text", "_lead").distinct()
 
 
-def having_keyword(rows: DataFrame, text: Column, keywords: DataFrame) -> DataFrame:
-    """The rows whose text has any keyword as a whole word."""
-    return rows.withColumn("_text", text).join(small(keywords.select("term")), F.rlike(F.col("_text"), whole_word(F.col("term"))), "left_semi").drop("_text")
+def having_keyword(rows: DataFrame, key: str, text: Column, keywords: DataFrame) -> DataFrame:
+    """The rows whose text has any keyword as a whole word; many keywords are first joined by word, as in ``matches``."""
+    terms = keywords.select("term").distinct()
+    if terms.limit(PREFILTER_FROM + 1).count() > PREFILTER_FROM:
+        return rows.join(matches(rows, key, text, terms).select(key).distinct(), key, "left_semi")
+    return rows.withColumn("_text", text).join(F.broadcast(terms), F.rlike(F.col("_text"), whole_word(F.col("term"))), "left_semi").drop("_text")
 
 
 def tagged(rows: DataFrame, key: str, text: Column, terms: DataFrame, out: str = "tags") -> DataFrame:

@@ -114,7 +114,9 @@ def test_sites(spark):
 def test_whole_words(spark):
     df = spark.createDataFrame([(1, "xabcx"), (2, "x ABC y"), (3, "x a.c y")], "id int, t string")
     words = spark.createDataFrame([("abc",)], "term string")
-    assert [r["id"] for r in match.having_keyword(df, F.col("t"), words).collect()] == [2]
+    assert [r["id"] for r in match.having_keyword(df, "id", F.col("t"), words).collect()] == [2]
+    many = words.union(spark.range(300).selectExpr("concat('zz', id) as term"))
+    assert [r["id"] for r in match.having_keyword(df, "id", F.col("t"), many).collect()] == [2]
 
 
 def test_list_of_names(spark):
