@@ -25,6 +25,7 @@ STATE_CONF = {
     f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
     f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
     f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",  # else every store reserves some megabytes of disk
 }
 
 
