@@ -164,3 +164,16 @@ def test_negation(spark, concept, variant, negatable, text, found):
 def test_dosing_and_ranges(spark):
     assert one(spark, concepts.without_dosing(F.array(F.lit("1.8 MG/KG IV Q3W"), F.lit("QW"), F.lit("DRUG A")))) == ["DRUG A"]
     assert one(spark, concepts.without_included(F.array(F.lit("ECOG_0"), F.lit("ECOG_0_1")))) == ["ECOG_0_1"]
+
+
+def test_extraction_of_wanted_records(spark):
+    schema = "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean"
+    words = spark.createDataFrame([("1", "STATUS", "ECOG_0", "ecog 0", 0.9, False), ("2", "STATUS", "ECOG_0_1", "ecog 0 or 1", 0.8, False), ("3", "REGIMEN", "QW", "weekly dose", 0.5, False), ("4", "DISEASE", "HBV", "hepatitis b", 0.9, False)], schema)
+    rows = spark.createDataFrame([(1, "ECOG 0 or 1, weekly dose, hepatitis B", ""), (2, "ecog 0", ""), (3, "ecog 0", "")], "id int, a string, b string")
+    ids = spark.createDataFrame([(1,), (2,)], "id int")
+    elsewhere = spark.createDataFrame([(2, None, "R", "S"), (9, "x", "y", "z")], "id int, DISEASE string, REGIMEN string, STATUS string")
+    routes = {"STATUS": ["a", "b"], "REGIMEN": ["a"], "DISEASE": ["a"]}
+    got = {r["id"]: (r["STATUS"], r["REGIMEN"], r["DISEASE"]) for r in concepts.extraction(rows, ids, words, routes, elsewhere, {"DISEASE": ["HBV"]}).collect()}
+    assert got == {1: ("ECOG_0_1", None, None), 2: ("S", "R", None)}
+    mine = {r["id"]: r["STATUS"] for r in concepts.extraction(rows, ids, words, routes, elsewhere, external_first=False).collect()}
+    assert mine == {1: "ECOG_0_1", 2: "ECOG_0"}
