@@ -13,10 +13,9 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def plain(v):
+    v = v.item() if isinstance(v, np.generic) else v
     if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and v != v):
         return None
-    if isinstance(v, np.bool_):
-        return bool(v)
     if isinstance(v, pd.Timestamp):
         return str(v)
     return round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool) else v
