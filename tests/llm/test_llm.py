@@ -393,6 +393,20 @@ def test_alignment_folds_and_makes_optional():
     assert [(p.key, p.optional) for p in again] == keys
 
 
+def page_texts(spark, rows):
+    return {r["page_id"]: r["text"] for r in html_wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_pages_of_mixed_templates_and_copies_keep_their_text(spark):
+    article = [(i, "http://m.example/x", f"<body><article><p>Article {i}</p></article></body>") for i in range(4)]
+    bare = [(10 + i, "http://m.example/x", f"<body><div><h2>Plain {i}</h2><p>Words of {i}</p></div></body>") for i in range(4)]
+    long = [(20 + i, "http://l.example/x", f"<body><div><p>{'same start ' * 30}{i}</p></div></body>") for i in range(4)]
+    copies = [(30 + i, "http://c.example/x", "<body><div><p>Only page</p><p>twice said</p><p>twice said</p><p>twice said</p></div></body>") for i in range(5)]
+    got = page_texts(spark, article + bare + long + copies)
+    assert got[2] == "Article 2" and got[12] == "Plain 2 Words of 2" and got[22].endswith("start 2")
+    assert got[33] == "Only page twice said twice said twice said"
+
+
 # ---- pipeline
 
 
