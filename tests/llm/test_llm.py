@@ -407,6 +407,14 @@ def test_pages_of_mixed_templates_and_copies_keep_their_text(spark):
     assert got[33] == "Only page twice said twice said twice said"
 
 
+def test_wrappers_judge_slots_inside_an_article(spark):
+    more = lambda i: "".join(f"<li><a href=/{i}/{k}>Other {i} {k}</a></li>" for k in range(3))
+    page = lambda i: f"<body><article><h1>Title {i}</h1><p>First {i} <a href=x>link {i}</a></p><p>Second {i}</p><p>Terms of the <i>house</i> apply</p><ul>{more(i)}</ul><div>Get our letter</div></article></body>"
+    got = page_texts(spark, [(i, "http://n.example/x", page(i)) for i in range(6)] + [(9, "http://o.example/x", page(9))])
+    assert got[3] == "Title 3 First 3 link 3 Second 3"
+    assert got[9].endswith("Terms of the house apply Other 9 0 Other 9 1 Other 9 2 Get our letter")
+
+
 # ---- pipeline
 
 
