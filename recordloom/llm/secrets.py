@@ -1,10 +1,10 @@
 """Secret scan: fixed rules, and a character convolutional network over every candidate and its context.
 
-The rules find assignments, access keys and hexadecimal strings. Every other long token with a digit is a
-candidate; the network sees its characters and those around it, and adds it where its calibrated
-score passes a threshold. The network is fitted in numpy on findings that the rules label in a bounded
-sample of the corpus, and on variations of them; the threshold is the highest that keeps the wanted
-recall on findings left out of the fit.
+The rules find assignments, access keys and hexadecimal strings. Every other token near a credential word,
+and elsewhere every long or mixed one, is a candidate; the network sees all its characters and those around
+it, and adds it where its calibrated score passes a threshold. The network is fitted in numpy on findings
+that the rules label in a bounded sample of the corpus, on variations of them and, as negatives, on tokens
+known to be harmless; the threshold is the highest that keeps the wanted recall on findings left out of the fit.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,8 +28,17 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"[0-9a-f]{32}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
-LONG_TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{16}")
+#: Words that announce a credential, in the languages at hand.
+CREDENTIAL = re.compile(r"passw(?:or[dt]|d)|pass(?:phrase|code|key)|pwd|secret|token|(?:api|access|private|auth|secret|signing)[ _-]?key|bearer|credential|auth(?![a-z])|login|kennwort|contrase|clave|mot de passe", re.IGNORECASE)
+#: A token beside a credential word, of ``NEAR_LEAST`` characters at least and at most so far behind or before it.
+NEAR = re.compile(r"[^\s\"'`<>(){}\[\],;|]+")
+NEAR_LEAST, NEAR_AFTER, NEAR_BEFORE = 4, 48, 24
+#: A token anywhere else: any of ``LONG`` characters, or a shorter one that mixes kinds of characters.
+TOKEN = re.compile(r"[!#-&*+\--:=?-Z\\^_a-z~]{8,}")
+LONG = 16
+MIXED = re.compile(r"[A-Za-z].*[0-9!@#$%^&*+=~]|[0-9!@#$%^&*+=~].*[A-Za-z]|[a-z][A-Z]")
+MARKS = "!#$%&*.,:?~=-"
+HARMLESS_NUMBER = re.compile(r"[0-9][0-9:/_.,-]*")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 #: Documents of the sample from which findings are taken, those of the smallest hashed doc_id.
@@ -59,18 +69,57 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Tokens of 16 characters or more with a digit that no rule's span touches."""
-    if not LONG_TOKEN.search(text.encode("utf-8", "surrogatepass")):
-        return []
-    found = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if end - start >= 16 and any("0" <= c <= "9" for c in m[0]) and not any(s < end and start < e for s, _, e in taken):
-            found.append((start, end))
+def _near(text: str) -> list[Span]:
+    """Regions beside credential words, overlapping ones joined, as (start, 0, end)."""
+    found: list[Span] = []
+    for m in CREDENTIAL.finditer(text):
+        start, end = max(0, m.start() - NEAR_BEFORE), m.end() + NEAR_AFTER
+        if found and start <= found[-1][2]:
+            found[-1] = (found[-1][0], 0, end)
+        else:
+            found.append((start, 0, end))
     return found
 
 
+def _value(text: str, start: int, end: int) -> Span:
+    """A token without the name that it is assigned to, if that is a credential word, and without closing marks."""
+    m = re.compile(r"[^:=]*[:=]+").match(text, start, end)
+    if m and CREDENTIAL.search(m[0]):
+        start = m.end()
+    while end > start and text[end - 1] in ".,:?":
+        end -= 1
+    return start, 0, end
+
+
+def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
+    """Tokens near a credential word, and long or mixed ones anywhere, that no rule's span touches."""
+    found: set[tuple[int, int]] = set()
+    for left, _, right in _near(text):
+        while left > 0 and NEAR.match(text[left - 1]):  # whole tokens only
+            left -= 1
+        for m in NEAR.finditer(text, left):
+            if m.start() >= right:
+                break
+            start, _, end = _value(text, *m.span())
+            if end - start >= NEAR_LEAST and not CREDENTIAL.fullmatch(text, start, end):
+                found.add((start, end))
+    for m in TOKEN.finditer(text):
+        if len(m[0]) < LONG and not MIXED.search(m[0]):
+            continue
+        start, _, end = _value(text, *m.span())
+        if end - start >= LONG or end - start >= 8 and MIXED.search(text[start:end].strip(MARKS)):
+            found.add((start, end))
+    out: list[tuple[int, int]] = []
+    spans, at, reach = sorted(taken), 0, -1  # reach: the farthest end of the rules' spans that begin before a candidate's end
+    for start, end in sorted(found, key=lambda c: (c[0], -c[1])):
+        while at < len(spans) and spans[at][0] < end:
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach <= start and (not out or out[-1][1] <= start):
+            out.append((start, end))
+    return out
+
+
 def encode(text: str, start: int, end: int) -> np.ndarray:
     """Codes of the window around a candidate; the middle of a longer one is left out of its window."""
     token = text[start:end]
@@ -82,6 +131,18 @@ def encode(text: str, start: int, end: int) -> np.ndarray:
     return out
 
 
+def encode_whole(text: str, start: int, end: int) -> list[np.ndarray]:
+    """Codes of a candidate and its context in windows that overlap so that every position of the convolution is in one."""
+    if end - start <= HEAD + TAIL:
+        return [encode(text, start, end)]
+    row = [_CODE.get(c, 1) for c in text[max(0, start - BEFORE) : start]] + [_INSIDE + _CODE.get(c, 1) for c in text[start:end]] + [_CODE.get(c, 1) for c in text[end : end + AFTER]]
+    out = []
+    for i in range(0, len(row) - WIDTH + 1, WINDOW - WIDTH + 1):
+        piece = row[i : i + WINDOW]
+        out.append(np.array(piece + [0] * (WINDOW - len(piece)), dtype=np.int64))
+    return out
+
+
 @dataclass
 class Network:
     embed: np.ndarray
@@ -104,7 +165,31 @@ class Network:
 
     def score(self, codes: np.ndarray) -> np.ndarray:
         """Calibrated probabilities."""
-        z = np.concatenate([self._forward(codes[i : i + 256])[3] for i in range(0, len(codes), 256)])
+        return self.score_pooled(self.pooled(codes))
+
+    def pooled(self, codes: np.ndarray) -> np.ndarray:
+        return np.concatenate([self._forward(codes[i : i + 256])[2] for i in range(0, len(codes), 256)])
+
+    def score_whole(self, text_places: list[tuple[str, int, int]]) -> np.ndarray:
+        """Calibrated probabilities of candidates, each seen whole."""
+        scores, windows, starts = [], [], []
+
+        def flush() -> None:
+            if windows:
+                scores.append(self.score_pooled(np.maximum.reduceat(self.pooled(np.array(windows)), starts, axis=0)))
+                windows.clear()
+                starts.clear()
+
+        for place in text_places:
+            starts.append(len(windows))
+            windows += encode_whole(*place)
+            if len(windows) >= 256:
+                flush()
+        flush()
+        return np.concatenate(scores)
+
+    def score_pooled(self, pooled: np.ndarray) -> np.ndarray:
+        z = pooled @ self.out + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -30, 30)))
 
 
@@ -131,20 +216,38 @@ def _varied(rng: random.Random, texts: list[str]) -> list[tuple[np.ndarray, int]
         ))()
         lead = f"{word()} {word()} "
         rows.append((encode(f"{lead}{number} {word()}", len(lead), len(lead) + len(number)), 0))
+        secret = rng.choice((
+            lambda: pick(letters, rng.randint(6, 15)) + pick("0123456789", 2),
+            lambda: pick(letters, rng.randint(3, 8)) + rng.choice("!@#$%.&*") + pick(letters, rng.randint(3, 8)),
+            lambda: pick(letters[:52], rng.randint(12, 40)),
+            lambda: word().capitalize() + pick("0123456789", rng.randint(1, 4)) + rng.choice(("", "!", "#", "$")),
+            *[lambda: rng.choice("--_.").join(word().strip(MARKS) for _ in range(rng.randint(3, 5)))] * 3,
+        ))()
+        lead = f"{word()} {rng.choice(names)}{rng.choice((' = ', '=', ': ', '=\"', ' is ', ': '))}"
+        rows.append((encode(f"{lead}{secret} {word()}", len(lead), len(lead) + len(secret)), 1))
+        plain = rng.choice((word, word, lambda: word() + word()))()
+        lead = f"{word()} {rng.choice(names)} {rng.choice(('', word() + ' ', 'is ', 'was ', 'for '))}"
+        rows.append((encode(f"{lead}{plain} {word()}", len(lead), len(lead) + len(plain)), 0))
     return rows
 
 
+def harmless(token: str, documents: int) -> bool:
+    """Whether a token is known to be no secret: a number or date, or a plain word that at least three documents have."""
+    return bool(HARMLESS_NUMBER.fullmatch(token)) or documents >= 3 and token.isalpha() and (token.islower() or token[1:].islower())
+
+
 def train(texts: list[str], recall: float = RECALL, epochs: int = 8, seed: int = 11) -> Network:
     """Fit on what the rules label in ``texts`` and on variations; calibrate and choose the threshold on a left-out fifth."""
     rng = random.Random(seed)
     rows = _varied(rng, [t for t in texts if t.strip()] or ["text"])
+    counts = Counter(w for t in texts for w in {t[s:e] for s, e in candidates(t, [])})
     for t in texts:
         base = base_spans(t)
         for start, kind, end in base:
             if kind == 0:
                 start = end - len(ASSIGN.match(t, start)[2])
             rows.append((encode(t, start, end), 1))
-        rows += [(encode(t, *c), 0) for c in candidates(t, base)]
+        rows += [(encode(t, *c), 0) for c in candidates(t, base) if harmless(t[c[0] : c[1]], counts[t[c[0] : c[1]]])]
     rng.shuffle(rows)
     codes, labels = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
     cut = len(rows) * 4 // 5
@@ -188,7 +291,7 @@ def _scanned(batches: Iterator[pa.RecordBatch], network: Network) -> Iterator[pa
         places = [(i, start, end) for i, t in enumerate(texts) for start, end in candidates(t, base[i])]
         every = [list(b) for b in base]
         if places:
-            scores = network.score(np.array([encode(texts[i], s, e) for i, s, e in places]))
+            scores = network.score_whole([(texts[i], s, e) for i, s, e in places])
             for (i, start, end), p in zip(places, scores, strict=True):
                 if p >= network.threshold:
                     every[i].append((start, 3, end))

@@ -341,6 +341,25 @@ def test_network_finds_what_rules_miss_and_spares_numbers(docs):
     assert all(s < net.threshold for s in score("order 4571475004921503 was paid and 4571-4750-0492-1503 too"))
 
 
+def test_every_token_near_a_credential_word_and_every_long_one_is_a_candidate():
+    found = lambda t: [t[s:e] for s, e in secrets.candidates(t, secrets.base_spans(t))]
+    assert found("pwd: Tr0ub4dor") == ["Tr0ub4dor"] and found("key kQwZxYvBnMLpOiUtRe.") == ["kQwZxYvBnMLpOiUtRe"]
+    assert found("the passphrase is correct-horse-battery-staple") == ["correct-horse-battery-staple"]
+    assert found("pwd=p@ss!w.rd9") == ["p@ss!w.rd9"] and found("an ordinary sentence of words") == []
+
+
+def test_network_sees_short_secrets_and_the_middle_of_long_tokens(docs):
+    net = secrets.train([r["text"] for r in docs.collect()])
+    text = "pwd: Tr0ub4dor"
+    assert net.score_whole([(text, *secrets.candidates(text, [])[0])])[0] >= net.threshold
+    for inside in range(60, 400, 17):  # each five characters of a long token are in a window as they stand
+        token = "a" * inside + "Z9/x+" + "a" * (400 - inside)
+        want = [secrets._INSIDE + secrets._CODE[c] for c in "Z9/x+"]
+        windows = [w.tolist() for w in secrets.encode_whole(f"x {token} y", 2, 2 + len(token))]
+        assert any(w[i : i + 5] == want for w in windows for i in range(len(w)))
+    assert not secrets.harmless("Tr0ub4dor", 9) and secrets.harmless("ordinary", 3) and not secrets.harmless("ordinary", 1)
+
+
 def test_secrets_of_odd_rows(spark, odd):
     net = secrets.train([])
     rows = secrets.scan(odd, net).collect()
