@@ -45,17 +45,20 @@ def haystack(*columns: str) -> Column:
 def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, pattern=whole_word) -> DataFrame:
     """Distinct (key, keyword columns…) where ``text`` has the keyword ``term``.
 
-    Few keywords are compared with every row (they are broadcast). Many are first joined by their first word with
-    the words of the rows, so only rows that have that word are searched.
+    Few keywords are compared with every row (they are broadcast). Many are first joined by their first run of ASCII
+    letters and digits with the runs of the rows, so only rows that have that run are searched; keywords that have
+    none are compared with every row.
     """
     texts = rows.select(F.col(key), text.alias("_text"))
     many = keywords.limit(PREFILTER_FROM + 1).count() > PREFILTER_FROM
     if not many:
         found = texts.join(F.broadcast(keywords), F.expr("true")).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
         return found.drop("_text").distinct()
-    word = r"[^\p{L}\p{N}]+"
-    lead = keywords.withColumn("_lead", F.element_at(F.filter(F.split(F.lower("term"), word), lambda w: w != ""), 1))
-    words = texts.select(key, "_text", F.explode(F.array_distinct(F.split(F.lower("_text"), word))).alias("_lead"))
+    # No pattern lets an ASCII letter or digit touch a keyword's run of such, so the run is a whole one in the text too.
+    # Runs are cut before they are lowered: some other letters have ASCII ones as their small letters.
+    runs = lambda c: F.transform(F.split(c, r"[^A-Za-z0-9]+"), lambda w: F.lower(w))
+    lead = keywords.withColumn("_lead", F.try_element_at(F.filter(runs(F.col("term")), lambda w: w != ""), F.lit(1)))
+    words = texts.select(key, "_text", F.explode(F.array_distinct(runs(F.col("_text")))).alias("_lead"))
     found = words.join(small(lead.where("_lead is not null")), "_lead")
     loose = texts.join(small(lead.where("_lead is null")), F.expr("true")).select(key, "_text", "_lead", *keywords.columns)
     found = found.select(key, "_text", "_lead", *keywords.columns).unionByName(loose).where(F.rlike(F.col("_text"), pattern(F.col("term"))))

@@ -103,7 +103,8 @@ def tag_terms(spark, d):
 def many_keywords(spark, d):
     """Many keywords against many texts: joined by word first."""
     part = read(spark, d, "part")
-    words = part.select(F.lower("p_brand").alias("term")).distinct()
+    absent = spark.range(match.PREFILTER_FROM).select(F.concat(F.lit("absent term "), F.col("id").cast("string")).alias("term"))
+    words = part.select(F.lower("p_brand").alias("term")).distinct().unionByName(absent)
     rows = part.select("p_partkey", F.concat_ws(" ", F.lit("x"), "p_brand", F.lit("y")).alias("text"))
     return match.matches(rows, "p_partkey", F.col("text"), words, match.between_alnum).select("p_partkey", "term")
 
