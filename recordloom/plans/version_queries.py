@@ -131,6 +131,13 @@ def job_stages(spark, d):
     return events.job_stages(found.withColumn("stages", events.stages(F.col("module"), F.col("field_name"))), ["id"]).select("id", F.array_join("stages", ",").alias("stages"))
 
 
+@query(f"WITH {_CHANGES} SELECT id, CASE WHEN bool_or(field = 'overallStatus') THEN 'EMBED_INVALIDATE,STATUS_HISTORY' ELSE 'EMBED_INVALIDATE' END AS stages FROM c GROUP BY id")
+def all_job_stages(spark, d):
+    """The stages of the changes of all versions, where ``job_stages`` takes every tenth."""
+    found = events.events(_changes(spark, d))
+    return events.job_stages(found.withColumn("stages", events.stages(F.col("module"), F.col("field_name"))), ["id"]).select("id", F.array_join("stages", ",").alias("stages"))
+
+
 @query(f"WITH {_CHANGES} SELECT id, arg_min(old_value, curr_version) AS old_value, arg_min(new_value, curr_version) AS new_value FROM c WHERE field = 'overallStatus' GROUP BY id")
 def status_history(spark, d):
     return events.transitions(events.events(_changes(spark, d)), ["id"], "overall status", "curr_version")
@@ -167,6 +174,12 @@ def wide_pair_report(spark, d):
     return reports.wide_pairs(_pairs(spark, d), "id", F.concat_ws("-", F.col("prev_version").cast("string"), F.col("curr_version").cast("string")), "curr_status", ["1-2", "2-3", "3-4"])
 
 
+@query(f"WITH {_PAIRS} SELECT id, prev_version || '-' || curr_version AS pair, curr_status AS value FROM p")
+def pair_report(spark, d):
+    """All pairs of all ids as long rows, where ``wide_pair_report`` has columns for three pairs."""
+    return _pairs(spark, d).select("id", F.concat_ws("-", F.col("prev_version").cast("string"), F.col("curr_version").cast("string")).alias("pair"), F.col("curr_status").alias("value"))
+
+
 @query(f"WITH {_PAIRS} SELECT id, string_agg(curr_version || ': ' || curr_status, chr(10) ORDER BY curr_version) AS lines FROM p GROUP BY id")
 def stacked_versions(spark, d):
     return reports.stacked(_pairs(spark, d), "id", "curr_version", F.concat_ws(": ", F.col("curr_version").cast("string"), "curr_status"))

@@ -3,6 +3,9 @@
 from pyspark.sql import functions as F
 
 from recordloom.operators import match
+from recordloom.plans import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
 
 
 def test_many_keywords_find_what_few_find(spark):
@@ -13,3 +16,10 @@ def test_many_keywords_find_what_few_find(spark):
     for pattern in (match.between_alnum, match.whole_word):
         few, more = ({tuple(r) for r in match.matches(rows, "id", F.col("text"), spark.createDataFrame(t, "term string"), pattern).collect()} for t in (terms, many))
         assert few == more and (2, "gpl") in few
+
+
+def test_reports_and_stages_take_every_version(spark):
+    pairs = QUERIES["version_pairs"](spark, FOLDER)
+    assert QUERIES["pair_report"](spark, FOLDER).count() == pairs.count()
+    changed = QUERIES["field_diff"](spark, FOLDER).select("id").distinct().count()
+    assert QUERIES["all_job_stages"](spark, FOLDER).count() == changed
