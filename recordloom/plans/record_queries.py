@@ -124,9 +124,12 @@ c AS (SELECT r.id, r.updated, p.pipeline,
   FROM r CROSS JOIN p JOIN documents t ON t.doc_id = r.id WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.id AND l.toxic = 1))"""
 
 
-def _classified(spark, d) -> DataFrame:
+_CLASSIFY_ALL = _CLASSIFY.replace("source IN ('src0', 'src1', 'src2')", "source IS NOT NULL")
+
+
+def _classified(spark, d, pipelines: str = "pipeline in ('src0', 'src1', 'src2')") -> DataFrame:
     docs, labels = read(spark, d, "documents"), read(spark, d, "labels")
-    pipelines = docs.select(F.col("source").alias("pipeline")).where("pipeline in ('src0', 'src1', 'src2')").distinct()
+    pipelines = docs.select(F.col("source").alias("pipeline")).where(pipelines).distinct()
     records = docs.select(F.col("doc_id").alias("id"), F.col("n_chars").cast("string").alias("updated"))
     every = labels.crossJoin(F.broadcast(pipelines)).select(F.col("doc_id").alias("id"), "pipeline", "quality", "toxic")
     tracking = every.where((F.col("quality") == 1) & ((F.col("id") + F.length("pipeline") + F.ascii(F.right("pipeline", F.lit(1)))) % 2 == 0))
@@ -148,6 +151,17 @@ def bucket_counts(spark, d):
     return classify.bucket_counts(_classified(spark, d))
 
 
+@query(f"{_CLASSIFY_ALL} SELECT * FROM c")
+def classify_all(spark, d):
+    """Every record against every source, where ``classify_trials`` takes three."""
+    return _classified(spark, d, "pipeline is not null")
+
+
+@query(f"{_CLASSIFY_ALL} SELECT pipeline, {_COUNTS} FROM c GROUP BY pipeline")
+def bucket_counts_all(spark, d):
+    return classify.bucket_counts(_classified(spark, d, "pipeline is not null"))
+
+
 @query(f"""{_CLASSIFY}, n AS (SELECT {_COUNTS} FROM c), o AS (SELECT count(*) FILTER (o_orderkey % 7 > 0) AS diffs FROM orders), k AS (SELECT count(*) AS fixes FROM customer WHERE c_custkey % 10 = 0)
 SELECT 'new_candidates' AS item, new AS n FROM n UNION ALL SELECT 'unmatched', unmatched FROM n UNION ALL SELECT 'modified_trials', modified FROM n UNION ALL SELECT 'field_diffs', diffs FROM o UNION ALL SELECT 'canonical_fixes', fixes FROM k""")
 def run_digest(spark, d):

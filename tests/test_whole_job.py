@@ -23,3 +23,8 @@ def test_reports_and_stages_take_every_version(spark):
     assert QUERIES["pair_report"](spark, FOLDER).count() == pairs.count()
     changed = QUERIES["field_diff"](spark, FOLDER).select("id").distinct().count()
     assert QUERIES["all_job_stages"](spark, FOLDER).count() == changed
+
+
+def test_every_source_is_classified(spark):
+    sources = {r[0] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("source").distinct().collect()} - {None}
+    assert len(sources) > 3 and {r["pipeline"] for r in QUERIES["bucket_counts_all"](spark, FOLDER).collect()} == sources
