@@ -114,7 +114,8 @@ def joined_text(*columns: Column) -> Column:
     return F.concat_ws(" ", *[F.nullif(c, F.lit("")) for c in columns])
 
 
-def labelled_sections(sections: dict[str, Column], each: int = 2000, whole: int = 8000) -> Column:
-    """"[label] text" of non-empty sections, each cut to ``each`` characters and all to ``whole``."""
-    parts = F.array_compact(F.array(*[F.when(c != "", F.concat(F.lit(f"[{label}] "), F.left(c, F.lit(each)))) for label, c in sections.items()]))
-    return F.left(F.array_join(parts, "\n\n"), F.lit(whole))
+def labelled_sections(sections: dict[str, Column], each: int | None = None, whole: int | None = None) -> Column:
+    """"[label] text" of non-empty sections; if asked for, each cut to ``each`` characters and all to ``whole``."""
+    cut = lambda c, n: c if n is None else F.left(c, F.lit(n))
+    parts = F.array_compact(F.array(*[F.when(c != "", F.concat(F.lit(f"[{label}] "), cut(c, each))) for label, c in sections.items()]))
+    return cut(F.array_join(parts, "\n\n"), whole)

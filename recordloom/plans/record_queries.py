@@ -72,7 +72,13 @@ def readable_change(spark, d):
 @query("""SELECT doc_id, left('[source] ' || source || chr(10) || chr(10) || '[text] ' || left(text, 2000), 8000) AS sections FROM documents WHERE text <> '' AND source <> ''""")
 def labelled_sections(spark, d):
     docs = read(spark, d, "documents").where("text <> '' and source <> ''")
-    return docs.select("doc_id", scalars.labelled_sections({"source": F.col("source"), "none": F.lit(None).cast("string"), "text": F.col("text")}).alias("sections"))
+    return docs.select("doc_id", scalars.labelled_sections({"source": F.col("source"), "none": F.lit(None).cast("string"), "text": F.col("text")}, 2000, 8000).alias("sections"))
+
+
+@query("""SELECT doc_id, concat_ws(chr(10) || chr(10), CASE WHEN source <> '' THEN '[source] ' || source END, CASE WHEN text <> '' THEN '[text] ' || text END) AS sections FROM documents""")
+def whole_sections(spark, d):
+    """Whole texts of every row, where ``labelled_sections`` cuts them and leaves rows out."""
+    return read(spark, d, "documents").select("doc_id", scalars.labelled_sections({"source": F.col("source"), "text": F.col("text")}).alias("sections"))
 
 
 # ---- keywords and classification

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from recordloom.functions import scalars
 from recordloom.operators import match
 from recordloom.plans import QUERIES
 
@@ -28,3 +29,9 @@ def test_reports_and_stages_take_every_version(spark):
 def test_every_source_is_classified(spark):
     sources = {r[0] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("source").distinct().collect()} - {None}
     assert len(sources) > 3 and {r["pipeline"] for r in QUERIES["bucket_counts_all"](spark, FOLDER).collect()} == sources
+
+
+def test_sections_are_whole(spark):
+    rows = spark.createDataFrame([("s", "x" * 9000), (None, "y"), ("s", None), (None, "")], "source string, text string")
+    got = [r[0] for r in rows.select(scalars.labelled_sections({"source": F.col("source"), "text": F.col("text")})).collect()]
+    assert got == ["[source] s\n\n[text] " + "x" * 9000, "[text] y", "[source] s", ""]
