@@ -29,12 +29,14 @@ def bounded_batches(spark: SparkSession, rows: int = 2000, mib: int = 8) -> None
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where that setting is absent (a local session) is a temporary folder used.
+    Without that setting only a local session gets a folder, a temporary one; on a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not root and spark.sparkContext.getCheckpointDir():
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="corpus-")
     if "://" not in root and root.startswith("/"):
         fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
@@ -42,16 +44,55 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate tables."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scratch:
+    """Intermediate tables of one run in one shared folder, removed as soon as they are no longer read."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.home, self.paths = spark, work_dir(spark, name), {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as Parquet and read it back.
+
+        It runs once, however often the result is used, and a lost executor later costs nothing:
+        the rows are in shared storage, not in an executor.
+        """
+        path = f"{self.home}/{name}-{len(self.paths)}"
+        df.write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[path] = (name, found)
+        return found
+
+    def drop(self, table: DataFrame) -> None:
+        """Remove one table."""
+        for path, (name, found) in self.paths.items():
+            if found is table:
+                remove(self.spark, path)
+                self.paths[path] = (name, None)
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but those of these names."""
+        for name, found in list(self.paths.values()):
+            if found is not None and name not in names:
+                self.drop(found)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+    """One intermediate table that stays: see ``Scratch.save``."""
+    return Scratch(df.sparkSession, name).save(df, name)
 
-    It runs once, however often the result is used, and a lost executor later costs nothing:
-    the rows are in shared storage, not in an executor.
-    """
-    spark = df.sparkSession
-    path = work_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that ``df`` doesn't have in any case, ``wanted`` if possible."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
 def whole_text(column: str = "text") -> Column:

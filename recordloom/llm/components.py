@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import Scratch
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,16 +23,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, left: str, right: str) -> DataFrame:
+def components(edges: DataFrame, left: str, right: str, at: Scratch) -> DataFrame:
     """Rows (node, root) of all nodes that have a link; ``root`` is the smallest node of the component.
 
     Rounds go on until the links no longer change. Each round is written to shared storage, so a
     lost executor repeats one round at most; the driver sees only a count and a checksum.
     """
-    state = saved(edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v").distinct(), "links")
+    state = at.save(edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v").distinct(), "links")
     before = None
     while True:
-        state = saved(_small_star(_large_star(state)), "links")
+        last, state = state, at.save(_small_star(_large_star(state)), "links")
+        at.drop(last)
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before:
             break
