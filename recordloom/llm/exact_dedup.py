@@ -23,8 +23,8 @@ STATE_CONF = {
     f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
-    f"{_STORE}.rocksdb.maxMemoryUsageMB": "256",
-    f"{_STORE}.rocksdb.writeBufferSizeMB": "8",
+    f"{_STORE}.rocksdb.maxMemoryUsageMB": "64",
+    f"{_STORE}.rocksdb.writeBufferSizeMB": "4",
     f"{_STORE}.rocksdb.allowFAllocate": "false",  # else every store reserves some megabytes of disk
 }
 

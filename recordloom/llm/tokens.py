@@ -2,7 +2,7 @@
 
 Neither kind of vocabulary here joins anything across a blank, so a text's ids are those of its words in
 turn. Words of letters go straight to the model, all others through the whole tokenizer. A Python
-worker keeps the ids of the words that it saw, in two generations of bounded size.
+worker keeps the ids of the words that it saw, in two generations that are bounded in bytes.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 import numpy as np  # noqa: E402
 
 _TAIL = ".,!?;:*#$%&|"
+#: Bytes of one generation of known words, with about ``ENTRY_BYTES`` besides the word and its ids for each.
+KEEP_BYTES, ENTRY_BYTES = 48 << 20, 160
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -32,13 +34,13 @@ class Encoder:
     letters are lowered and blanks dropped.
     """
 
-    def __init__(self, path: str, leading_blank: bool, keep: int = 600_000):
+    def __init__(self, path: str, leading_blank: bool, keep: int = KEEP_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.leading_blank = leading_blank
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.keep = keep
+        self.keep, self.held = keep, 0
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.letters = _byte_letters()
@@ -91,9 +93,11 @@ class Encoder:
         try:
             return b"".join(map(self.new.__getitem__, items))
         except KeyError:
-            if len(self.new) > self.keep:
-                self.old, self.new = self.new, {"": b""}
-            self._fill(set(items).difference(self.new))
+            if self.held > self.keep:
+                self.old, self.new, self.held = self.new, {"": b""}, 0
+            missing = set(items).difference(self.new)
+            self._fill(missing)
+            self.held += sum(len(m) + len(self.new[m]) + ENTRY_BYTES for m in missing)
             return b"".join(map(self.new.__getitem__, items))
 
     def encode(self, text: str) -> np.ndarray:

@@ -15,6 +15,8 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _IS_GAP = np.zeros(256, dtype=bool)
 _IS_GAP[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[str, np.ndarray] = {}
+#: Bytes of text whose words are hashed together.
+STRETCH = 1 << 19
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -33,7 +35,7 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``n`` powers of the base and of its inverse."""
     if len(_powers.get("up", ())) < n:
-        size = max(1 << 21, 1 << (n - 1).bit_length())
+        size = max(STRETCH + 1, n)
         for key, base in (("up", _BASE), ("down", _INVERSE)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
@@ -56,10 +58,16 @@ def word_hashes(texts: list[str], lower: bool = True, places: bool = False) -> t
     gap = _IS_GAP[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).astype(np.int8)))
     begins, ends = edge[0::2], edge[1::2]
-    up, down = _power(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-    hashes = mix((total[ends] - total[begins]) * down[begins])
+    hashes = np.empty(len(begins), dtype=np.uint64)
+    i = 0
+    while i < len(begins):  # a stretch of whole words at a time, so that a very long text takes no more memory
+        j = max(i + 1, int(np.searchsorted(ends, begins[i] + STRETCH, side="right")))
+        start, stop = begins[i], ends[j - 1]
+        up, down = _power(int(stop - start) + 1)
+        total = np.zeros(stop - start + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[data[start:stop]] * up[: stop - start], out=total[1:])
+        hashes[i:j] = mix((total[ends[i:j] - start] - total[begins[i:j] - start]) * down[begins[i:j] - start])
+        i = j
     firsts = np.searchsorted(begins, np.concatenate(([0], np.cumsum(sizes))))
     return (hashes, firsts, begins) if places else (hashes, firsts)
 

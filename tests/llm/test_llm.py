@@ -182,7 +182,7 @@ TEXTS = ["a  b\n\n c", "\nfoo", "x ", "it's we're  'll", "naïve Ünï<|endoftex
 @pytest.mark.parametrize("name, leading", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
 def test_words_in_turn_give_the_ids_of_the_whole(docs, name, leading):
     texts = TEXTS + [r["text"] for r in docs.collect()]
-    enc = Encoder(P.path(name), leading, keep=2000)
+    enc = Encoder(P.path(name), leading, keep=400_000)
     for t, e in zip(texts, enc.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
         assert enc.encode(t).tolist() == e.ids, t
 
