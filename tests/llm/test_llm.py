@@ -408,7 +408,7 @@ def test_alignment_folds_and_makes_optional():
     fold = lambda s: html_wrappers.fold(html_wrappers.parse(s)[0])
     a, b = fold("<ul><li>x</li><li>y</li></ul><p>t</p>"), fold("<ul><li>z</li></ul><div>new</div><p>u</p>")
     keys = [(p.key, p.optional) for p in html_wrappers.align(a, b)]
-    assert ("(<li > #n </li>)+", False) in keys and ("<div >", True) in keys and ("<p >", False) in keys
+    assert ("(<li > #t </li>)+", False) in keys and ("<div >", True) in keys and ("<p >", False) in keys
     again = html_wrappers.loads(html_wrappers.dumps(html_wrappers.align(a, b)))
     assert [(p.key, p.optional) for p in again] == keys
 
@@ -435,6 +435,63 @@ def test_wrappers_judge_slots_inside_an_article(spark):
     assert got[9].endswith("Terms of the house apply Other 9 0 Other 9 1 Other 9 2 Get our letter")
 
 
+def article_of(page):
+    body = re.search(r"<article>(.*?)(</article>|\Z)", page, re.S)[1]
+    return " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(p|h1|br)>", " ", body))).split())
+
+
+def test_wrappers_find_the_text_without_any_names(spark):
+    pages = table(spark, "/root/testdata/sf0.01", "pages").withColumn("host", html_wrappers._host())
+    pages = pages.join(pages.groupBy("host").count().where("count >= 5"), "host")
+    rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
+    bare = [(i, u, re.sub(r"<(/?)(?:article|nav|footer)>", r"<\1div>", h).replace('<div class="ad">', "<div>")) for i, u, h in rows]
+    got = page_texts(spark, bare)
+    assert len(rows) > 50 and {i: got[i] for i, _, _ in rows} == {i: article_of(h) for i, _, h in rows}
+
+
+def test_the_wrapper_decides_where_the_text_is(spark):
+    teaser = lambda i: "".join(f"<div><h3>Teaser {i} {k}</h3><p>{'short words ' * 4}{i} {k}</p></div>" for k in range(2))
+    page = lambda i, n: f"<body><section>{teaser(i)}</section><section><h1>Title {i}</h1>{''.join(f'<p>{chr(97 + k) * 3} long text {i} ' + 'and more of it ' * 9 + '</p>' for k in range(n))}</section></body>"
+    rows = [(i, "http://w.example/x", page(i, 6)) for i in range(8)] + [(9, "http://w.example/x", page(9, 1)), (10, "http://z.example/x", page(9, 1))]
+    got = page_texts(spark, rows)
+    assert got[9].startswith("Title 9 aaa long text 9") and "Teaser" not in got[9]
+    assert "Teaser" in got[10]  # the same page without a wrapper
+
+
+def test_faults_of_pages(spark):
+    text = "<p>First words of the text</p><p>second words of it</p>"
+    rows = [
+        (1, None, f"<body><svg/><div class='content'>{text}</div></body>"),
+        (2, None, f"<body><article>{text}</article><footer><div class='content'>legal</div></footer></body>"),
+        (3, None, f"<body><article>{text}</article><section id='comments'><article><p>nice</p></article></section></body>"),
+        (4, None, f"<body class='has-sidebar'><div class='page sidebar-right'><main>{text}</main></div></body>"),
+        (5, None, f"<body><article>{text}<iframe src='x'/><p>end</p></article></body>"),
+        (6, None, f"<body><article><a href=/x/>link</a>{text}</article></body>"),
+    ]
+    got = page_texts(spark, [(i, f"http://f{i}.example/", h) for i, _, h in rows])
+    want = "First words of the text second words of it"
+    assert got == {1: want, 2: want, 3: want, 4: want, 5: f"{want} end", 6: f"link {want}"}
+
+
+def test_odd_pages(spark):
+    long = "<body><article>" + "".join(f"<p>paragraph {i}</p>" for i in range(20_000)) + "</article></body>"
+    unit = "".join(f"<h{k}>x{k}</h{k}><p>y{k}</p><div>z{k}</div>" for k in range(1, 7))
+    rows = [(1, "http://a.example", long), (1, "http://a.example", long), (2, "http://a.example", None), (None, None, "<p>x</p>"), (3, "http://b.example", f"<body>{unit}{unit}</body>")]
+    wide = spark.createDataFrame([(*r, 1, "k", "w") for r in rows], "page_id long, url string, html string, copies long, host string, wrapper string")
+    got = html_wrappers.main_text(wide).collect()
+    assert len(got) == 5 and sum(r["text"] == " ".join(f"paragraph {i}" for i in range(20_000)) for r in got) == 2
+    assert any(p.unit and len(p.unit) == len(html_wrappers.parse(unit)[0]) for p in html_wrappers.fold(html_wrappers.parse(f"<body>{unit}{unit}</body>")[0]))
+
+
+def test_wrappers_stay_small():
+    rng = np.random.default_rng(5)
+    wrapper = []
+    for i in range(400):
+        odd = "".join(f"<x{rng.integers(10**6)}>t</p>" for _ in range(3))
+        wrapper = html_wrappers.align(wrapper, html_wrappers.fold(html_wrappers.parse(f"<body><div><p>{i}</p><p>b{i}</p></div>{odd}</body>")[0]))
+    assert len(wrapper) < 1500 and wrapper[0].key == "<body >" and not wrapper[0].optional
+
+
 # ---- pipeline
 
 
