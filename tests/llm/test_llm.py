@@ -165,13 +165,81 @@ def test_fingerprints(spark, odd):
     assert fingerprints.fingerprints(odd).count() == 14 and fingerprints.fingerprints(odd.where("false")).count() == 0
 
 
+def brute_anchors(text):
+    """(hash, place) of each anchor of a text, and the number of its runs."""
+    import xxhash
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    both = lambda a, b: signed(xxhash.xxh64(b.to_bytes(8, "little", signed=True), seed=xxhash.xxh64(a.to_bytes(8, "little", signed=True), seed=42).intdigest()).intdigest())
+    w = [signed(xxhash.xxh64(x.encode(), seed=42).intdigest()) for x in words(text)]
+    if not w:
+        return [], 0
+    h = [fingerprints.PAD] * 7 + w + [fingerprints.PAD] * 7
+    r = [both(*h[i : i + 2]) for i in range(len(h) - 1)]
+    found = []
+    for i in range(len(h) - 7):
+        inner = r[i : i + 7]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append((both(both(r[i], r[i + 2]), both(r[i + 4], r[i + 6])) & 0xFFFFFFFF, i))
+    return found, len(h) - 7
+
+
+def brute_likeness(a, b):
+    (x, n), (y, m) = a, b
+    near = lambda p, q: p // fingerprints.STRETCH == q // fingerprints.STRETCH
+    places = defaultdict(list)
+    for h, q in y:
+        places[h].append(q)
+    hits = {h for h, p in x for q in places[h] if near(p, q) or near(n - 1 - p, m - 1 - q)}
+    every = {h for h, _ in x} | {h for h, _ in y}
+    return len(hits) / len(every) if every else 1.0
+
+
+def test_fingerprints_and_likeness_equal_brute_force(spark, docs):
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.orderBy("doc_id").collect()]
+    rows += [(1 << 62, "sparse"), ((1 << 62) + 5, "a b c d e f g h i j k"), (-(1 << 62), ""), (-3, " x\ty ")]
+    rows.sort()
+    got = {r["doc_id"]: r for r in fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    said = lambda f: "".join(f"{p - q:x}{h:08x}" for (h, p), (_, q) in zip(f[0], [(0, 0), *f[0]], strict=False)) + (f"{f[1] - f[0][-1][1]:x}" if f[0] else "")
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+        a, b, c = map(brute_anchors, (t, edited, after))
+        assert got[i]["fingerprint"] == said(a) and got[i]["edited_fingerprint"] == said(b)
+        assert abs(got[i]["near_edited"] - brute_likeness(a, b)) < 1e-12 and abs(got[i]["near_next"] - brute_likeness(a, c)) < 1e-12
+        assert not t.split() or a[0]
+
+
+def test_blocks_follow_identifiers_of_any_spread(spark):
+    rng = np.random.default_rng(4)
+    ids = sorted({*range(6000), *map(int, rng.integers(-(2**62), 2**62, 3000)), *(10**15 + 7 * k for k in range(5000))})
+    rows = spark.createDataFrame([(i, 0, "t") for i in ids] + [(None, int(h), "n") for h in rng.integers(-(2**63), 2**63 - 1, 5000)], "doc_id long, h long, text string")
+    got = sorted(((r["doc_id"], r["h"], r["block"]) for r in fingerprints._blocked(rows).collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    blocks = [b for _, _, b in got]
+    sizes = defaultdict(int)
+    for b in blocks:
+        sizes[b] += 1
+    assert len(got) == rows.count() and blocks == sorted(blocks) and max(sizes.values()) < 3 * fingerprints.BLOCK_ROWS
+
+
+def test_likeness_falls_smoothly_with_length(spark):
+    rng = np.random.default_rng(2)
+    rows = [(n, " ".join(w), " ".join(w[:-1])) for n in range(1, 201) for w in [[f"q{x}" for x in rng.integers(0, 10**6, n)] for _ in range(5)]]
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    df = fingerprints.with_anchors(fingerprints.with_anchors(df, "a", "x"), "b", "y").select("n", fingerprints.likeness("x", "y").alias("like"))
+    mean = [np.mean([v[1] for v in g]) for _, g in itertools.groupby(sorted(map(tuple, df.collect())), key=lambda v: v[0])]
+    smooth = np.convolve(mean, np.ones(9) / 9, "valid")
+    assert (np.diff(smooth) > -0.02).all() and smooth[0] < 0.3 and smooth[-1] > 0.9
+
+
 def test_anchors_do_not_depend_on_their_surroundings(spark):
     rng = np.random.default_rng(3)
     some = lambda n: " ".join(f"q{i}" for i in rng.integers(0, 10**6, n))
     passage = some(200)
     df = spark.createDataFrame([(passage,), (f"{some(90)} {passage} {some(70)}",)], "text string")
-    a, b = (r["x"] for r in fingerprints.with_anchors(df, "text", "x").collect())
-    assert set(a) <= set(b) and 30 <= len(a) <= 120
+    (a, n), (b, _) = ((r["x"]["at"], r["x"]["runs"]) for r in fingerprints.with_anchors(df, "text", "x").collect())
+    inside = [(x >> 31, x & 0x7FFFFFFF) for x in a if 7 <= (x & 0x7FFFFFFF) < n - 7]
+    assert 30 <= len(inside) <= 120 and {(h, p + 90) for h, p in inside} <= {(x >> 31, x & 0x7FFFFFFF) for x in b}
 
 
 # ---- tokens, records, packing
