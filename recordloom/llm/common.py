@@ -106,15 +106,27 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_GAP))).cast("long")
 
 
-def sample_texts(docs: DataFrame, documents: int) -> list[str]:
-    """The texts of at most ``documents`` documents, those of the smallest hashed doc_id, to fit a model on.
+#: Characters of the texts that are taken to the driver to fit a model on.
+FIT_CHARS = 32_000_000
 
-    Identifiers are chosen first, so that no text moves but the chosen ones.
+
+def sample_texts(docs: DataFrame, documents: int, chars: int = FIT_CHARS) -> list[str]:
+    """Whole texts of at most ``documents`` documents, those of the smallest hashed doc_id, and of at most ``chars`` characters, to fit a model on.
+
+    Identifiers and lengths are chosen first, so that no text moves but the chosen ones. Of rows that repeat a doc_id the smallest text counts.
     """
-    chosen = docs.select(F.col("doc_id").cast("long").alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(documents)
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"].cast("long") == chosen["_id"]).select("_id", whole_text().alias("text"))
-    rows = rows.groupBy("_id").agg(F.min("text").alias("text"))
-    return [r["text"] for r in sorted(rows.collect(), key=lambda r: r["_id"])]
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text().alias("text")).where("id is not null")
+    first = rows.groupBy("id").agg(F.max(F.length("text")).alias("chars")).orderBy(F.xxhash64("id"), "id").limit(documents)
+    chosen, total = [], 0
+    for r in sorted(first.collect(), key=lambda r: (r["chars"], r["id"])):
+        total += r["chars"]
+        if total <= chars:
+            chosen.append((r["id"],))
+    if not chosen:
+        return []
+    wanted = docs.sparkSession.createDataFrame(chosen, "id long")
+    found = rows.join(F.broadcast(wanted), "id").groupBy("id").agg(F.min("text").alias("text"))
+    return [r["text"] for r in sorted(found.collect(), key=lambda r: r["id"])]
 
 
 def slices(batches: Iterator[pa.RecordBatch], budget: int = 1 << 20, text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .common import saved, table, whole_text, work_dir
+from .common import Scratch, remove, table, whole_text
 
+#: Bytes of arrivals (some 60 a row) that one micro-batch takes at most, about.
+BATCH_BYTES = 64 << 30
+BROADCAST_ROWS = 500_000
 _STORE = "spark.sql.streaming.stateStore"
 #: Disk-backed state, with one bound of memory for all state stores of an executor.
 STATE_CONF = {
@@ -74,11 +77,17 @@ def state_of(spark: SparkSession, out: str) -> DataFrame:
     return last.select("digest", F.col("keeper.doc_id").alias("keep_id"), F.col("keeper.seq").alias("keep_seq"), "group_size", F.col("keeper.locator").alias("locator"))
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if they are counted to be few (some 50 MB)."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _mixed_digests(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Digests of more than one text among those that were hit: full bytes are compared, copies merged before they move."""
+    """Digests of more than one text among those that were hit: full bytes are compared, of hits only, copies merged before they move."""
     texts = docs.select(F.unhex(F.sha2(whole_text(), 256)).alias("digest"), whole_text().alias("text"))
+    texts = texts.join(_few(hits.select("digest")), "digest", "left_semi")
     seen = texts.groupBy("digest", "text").agg(F.count("*").alias("n")).select("digest")
-    return seen.groupBy("digest").count().where("count > 1").join(hits, "digest", "left_semi").select("digest")
+    return seen.groupBy("digest").count().where("count > 1").select("digest")
 
 
 def _by_text(docs: DataFrame, digests: DataFrame) -> DataFrame:
@@ -91,19 +100,20 @@ def _by_text(docs: DataFrame, digests: DataFrame) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (first == 1)).alias("kept"), "digest")
 
 
-def _decided(docs: DataFrame) -> DataFrame:
-    spark = docs.sparkSession
-    home = work_dir(spark, "exact-dedup")
-    arrivals(docs).write.parquet(f"{home}/arrivals")
+def _decided(docs: DataFrame, at: Scratch) -> DataFrame:
+    spark, home = docs.sparkSession, at.home
     schema = "doc_id bigint, seq bigint, digest binary, locator string"
+    arrivals(docs).write.parquet(f"{home}/arrivals")
     log = spark.read.schema(schema).parquet(f"{home}/arrivals")
-    query = dedup_stream(spark.readStream.schema(schema).parquet(f"{home}/arrivals"), f"{home}/state", f"{home}/checkpoint")
-    query.awaitTermination()
+    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(f"{home}/arrivals")
+    dedup_stream(stream, f"{home}/state", f"{home}/checkpoint").awaitTermination()
     if log.isEmpty():
         return log.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    hits = saved(state_of(spark, f"{home}/state").where("group_size > 1"), "hits")
-    mixed = saved(_mixed_digests(docs, hits), "mixed")
-    found = log.join(hits, "digest", "left").select(
+    hits = at.save(state_of(spark, f"{home}/state").where("group_size > 1"), "hits")
+    remove(spark, f"{home}/state")
+    remove(spark, f"{home}/checkpoint")
+    mixed = at.save(_mixed_digests(docs, hits), "mixed")
+    found = log.join(_few(hits), "digest", "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
@@ -123,21 +133,27 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     counts as smaller than any other). Of rows that repeat both doc_id and text exactly one is
     marked as kept. Other columns are ignored. An empty table gives an empty result.
     """
-    return _decided(docs).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    found = _decided(docs, Scratch(docs.sparkSession, "exact-dedup"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def keep_unique(docs: DataFrame) -> DataFrame:
-    """``docs`` with all its columns, without the rows that ``exact_dedup`` drops."""
-    plan = saved(_decided(docs), "decisions")
-    marked = docs.withColumn("_digest", F.unhex(F.sha2(whole_text(), 256)))
-    keys = plan.groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-    keys = saved(keys.where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d"), "kept"), "touched")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d"))
-    out = marked.join(keys.select("_id", "_d"), same, "left_anti")
-    again = keys.where("kept").select("_id", "_d")
+    """``docs`` with all its columns, whatever their names, without the rows that ``exact_dedup`` drops.
+
+    Of rows that repeat both doc_id and text, but differ in other columns, one stays.
+    """
+    at = Scratch(docs.sparkSession, "exact-dedup")
+    keys = _decided(docs, at).groupBy("doc_id", "digest").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).where("not kept or n > 1")
+    keys = at.save(keys.select(F.col("doc_id").alias("id"), F.col("digest").alias("own"), "kept"), "touched")
+    at.keep("touched")
+    remove(docs.sparkSession, f"{at.home}/arrivals")
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(whole_text(), 256)).alias("digest"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("own"))
+    out = marked.join(_few(keys.select("id", "own")), same, "left_anti")
+    again = keys.where("kept").select("id", "own")
     if not again.isEmpty():
-        out = out.union(marked.join(again, same, "left_semi").dropDuplicates(["doc_id", "_digest"]))
-    return out.drop("_digest")
+        out = out.union(marked.join(_few(again), same, "left_semi").dropDuplicates(["doc_id", "digest"]))
+    return out.select("row.*")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

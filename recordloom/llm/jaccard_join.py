@@ -204,6 +204,8 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int
     same = Window.partitionBy("key")
     shared = at.save(_key_rows(classes).withColumn("many", F.count("*").over(same)).where("many > 1"), "shared-keys")
     shared = at.save(_rarest(shared, classes), "rarest-keys")
+    if shared.isEmpty():
+        return at.save(shared.select("node", F.col("node").alias("root")), "roots")
     weight = at.save(shared.groupBy("node").agg(F.sum("many").alias("weight")), "weights")
     short = at.save(_only(classes, weight.select("node"), ["node"]).select("node", "n", "short"), "short-sketches")
 
@@ -232,7 +234,7 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int
     star = sides(star, "node", "hub").groupBy("node").agg(F.max_by("hub", F.struct("weight", F.negative("hub"))).alias("hub"))
     pairs = at.save(star.select(F.least("node", "hub").alias("u"), F.greatest("node", "hub").alias("v")).distinct(), "hub-pairs")
     links = verified(pairs, "hub-links")
-    roots = components(links, "u", "v", at)
+    roots = at.save(components(links, "u", "v", at), "roots")
 
     # the rest: classes of a key that hubs have not brought together, a key of many classes in cells of a few
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -245,7 +247,12 @@ def linked_classes(classes: DataFrame, docs: DataFrame, percent: int, width: int
     here = (a["key"] == b["key"]) & (a["cell"] == b["cell"]) & (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v"))
     rest = a.join(b, here & _may_link("n_u", "short_u", "n_v", "short_v", percent)).select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
     rest = at.save(rest.join(pairs, ["u", "v"], "left_anti"), "other-pairs")
-    return at.save(components(links.union(verified(rest, "other-links")), "u", "v", at), "roots")
+    if rest.isEmpty():
+        return roots
+    more = verified(rest, "other-links")
+    if more.isEmpty():
+        return roots
+    return at.save(components(links.union(more), "u", "v", at), "roots")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:

@@ -123,10 +123,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """The mix itself: whole rows of ``docs``, each as often as the mix takes it; the one at a threshold if at least half of it fits."""
-    columns = docs.columns
-    rows = _with_plan(docs.withColumn("_h", _hash()), plan(_sizes(docs), weights, most)).withColumn("_times", _times("_h")).where("_times > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*columns)
+    """The mix itself: whole rows of ``docs``, with all columns whatever their names, each as often as the mix takes it; the one at a threshold if at least half of it fits."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("source"), _hash().alias("h"))
+    rows = _with_plan(rows, plan(_sizes(docs), weights, most)).withColumn("times", _times("h")).where("times > 0")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -130,15 +130,19 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machine:
-    """Fit on at most ``fit_rows`` labelled documents that are not held out; only their features come to the driver."""
-    known = labels.where("quality in (0, 1) and doc_id is not null").where(~held_out(F.col("doc_id")))
-    known = known.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
+    """Fit on at most ``fit_rows`` labelled documents that are not held out; only their features come to the driver, at most ``BUCKETS`` numbers each.
+
+    Labels that contradict each other count for nothing; of rows that repeat a doc_id the smallest text counts.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1) and id is not null").where(~held_out(F.col("id")))
+    known = known.groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most").orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     bounded_batches(docs.sparkSession)
-    rows = docs.join(F.broadcast(known), docs["doc_id"].cast("long") == known["_id"]).select("_id", "quality", whole_text().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text().alias("text")).join(F.broadcast(known), "id")
+    rows = rows.groupBy("id", "quality").agg(F.min("text").alias("text"))
     found = rows.mapInArrow(_featured, "doc_id long, quality int, bucket array<int>, value array<float>, stats array<double>").toArrow()
-    found = found.sort_by([("doc_id", "ascending")])
-    data = [(np.array(b, np.int32), np.array(v, np.float32), np.array(s)) for b, v, s in zip(*(found.column(c).to_pylist() for c in ("bucket", "value", "stats")), strict=True)]
-    return fit(data, np.array(found.column("quality").to_pylist(), dtype=float))
+    found = found.sort_by([("doc_id", "ascending")]).combine_chunks()
+    each = lambda c: [x.values.to_numpy() for x in found.column(c)]
+    return fit(list(zip(each("bucket"), each("value"), each("stats"), strict=True)), np.array(found.column("quality").to_pylist(), dtype=float))
 
 
 def _scored(batches: Iterator[pa.RecordBatch], machine: Machine) -> Iterator[pa.RecordBatch]:

@@ -452,6 +452,24 @@ def test_licences(spark, docs, odd):
     assert licenses.scan(odd, model).count() == 14 and licenses.scan(odd.where("false"), model).count() == 0
 
 
+# ---- names that operators use inside
+
+CLASH = ["_id", "quality", "_h", "_times", "_copy", "_source", "_digest", "h", "id", "own", "row", "digest", "times", "copy", "target", "rest", "threshold", "score", "node", "component_id", "drop", "block", "cell", "runs", "anchors"]
+
+
+def test_columns_of_any_name_pass_unchanged(spark, odd):
+    df = odd.select("doc_id", "text", "source")
+    for i, name in enumerate(CLASH):
+        df = df.withColumn(name, F.concat(F.lit(f"{name}{i}-"), F.coalesce("doc_id", F.lit(0))))
+    labels = spark.createDataFrame([(4, 1), (7, 0), (9, 1), (9, 0)], "doc_id long, quality int")
+    for out in (exact_dedup.keep_unique(df), mixing.mixed(df), jaccard_join.keep_one(df), quality.accepted(df, quality.train(df, labels), 0.0)):
+        rows = out.collect()
+        assert out.columns == df.columns and rows
+        assert all(r[name] == f"{name}{i}-{r['doc_id'] or 0}" for r in rows for i, name in enumerate(CLASH))
+    assert len(quality.score(df, quality.train(df, labels)).collect()) == 14
+    assert secrets.scan(df, secrets.fitted(df)).count() == licenses.scan(df, licenses.fitted(df)).count() == fingerprints.fingerprints(df).count() == exact_dedup.exact_dedup(df).count() == 14
+
+
 # ---- pages
 
 
@@ -576,4 +594,10 @@ def test_pipeline(spark):
     assert sorted(r["doc_id"] for r in near) == sorted(set(roots.values()))
     rows = c.run(spark, FOLDER).collect()
     assert rows and {r["doc_id"] for r in rows} <= {r["doc_id"] for r in docs.collect()}
+    docs_with = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "", None, "a", 0, "y"), (3, "one two", None, "a", 7, "z"), (3, "one two", None, "a", 7, "z"), (None, "no id", None, None, 5, "w")], "doc_id long, text string, lang string, source string, n_chars long, h string")
+    for name, stage in c.STAGES:
+        for df in (docs_with, docs_with.where("false")):
+            out = stage(spark, df, FOLDER)
+            assert name == "packing" or out.columns == df.columns
+            assert out.count() >= 0 if df is docs_with else out.count() == 0
     assert [n for n, _ in c.STAGES] == ["quality classifier", "exact dedup", "n-gram Jaccard join", "mixing sources", "packing"]
