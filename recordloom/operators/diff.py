@@ -29,16 +29,24 @@ MODULES = {
 }
 RESULTS = [label for label, path in MODULES.items() if path.startswith("resultsSection")]
 PLACES = "Contacts/Locations"
-DEPTH = 14
 
 
-def flatten(rows: DataFrame, doc: str, depth: int = DEPTH) -> DataFrame:
+def nesting(rows: DataFrame, doc: str) -> int:
+    """How deep the deepest document is nested."""
+    marks = F.split(F.regexp_replace(F.regexp_replace(F.to_json(doc), r'"(?:[^"\\\\]|\\\\.)*+"', ""), r"[^\[\]{}]", ""), "")
+    step = lambda s, c: F.when(c.isin("[", "{"), s["now"] + 1).when(c.isin("]", "}"), s["now"] - 1).otherwise(s["now"])
+    deepest = F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")), lambda s, c: F.struct(step(s, c).alias("now"), F.greatest(s["top"], step(s, c)).alias("top")), lambda s: s["top"])
+    return rows.agg(F.coalesce(F.max(deepest), F.lit(0))).first()[0]
+
+
+def flatten(rows: DataFrame, doc: str, depth: int | None = None) -> DataFrame:
     """``rows`` without ``doc``, one row per leaf of it: path (a.b[0].c) and value (text; null for a JSON null).
 
-    Empty objects and arrays have no leaf. Numbers print alike whether written 1 or 1.0. A document
-    nested deeper than ``depth`` levels is an error, not a cut.
+    Empty objects and arrays have no leaf. Numbers print alike whether written 1 or 1.0. Without ``depth`` the documents
+    are read once more for how deep they are nested; where ``depth`` is known, one nested deeper is an error, not a cut.
     """
     keep = [c for c in rows.columns if c != doc]
+    depth = max(1, nesting(rows, doc)) if depth is None else depth
     rows = rows.select(*keep, F.lit("").alias("path"), F.col(doc).alias("_v"))
     members = "transform(map_entries(try_variant_get(_v, '$', 'map<string,variant>')), e -> struct(if(path = '', e.key, concat(path, '.', e.key)) as path, e.value as value))"
     elements = "transform(try_variant_get(_v, '$', 'array<variant>'), (x, i) -> struct(concat(path, '[', i, ']') as path, x as value))"
@@ -67,23 +75,32 @@ def compare(sides: DataFrame, keys: list[str]) -> DataFrame:
     return both.where("not (old_value <=> new_value and _ok <=> _nk)").drop("_ok", "_nk")
 
 
-def field_changes(pairs: DataFrame, versions: DataFrame, depth: int = DEPTH) -> DataFrame:
+def field_changes(pairs: DataFrame, versions: DataFrame, depth: int | None = None) -> DataFrame:
     """Changes of version pairs: id, prev_version, curr_version, module, field, old_value, new_value.
 
     pairs (id, prev_version, curr_version, module_labels array); versions (id, version, doc variant). Only listed
     modules are compared. Places are matched by facility, not by position (see ``place_changes``).
     """
     keys = ["id", "prev_version", "curr_version"]
-    modules = changed_modules(pairs.select(*keys, "module_labels"), "module_labels")
-    docs = versions.select("id", F.col("version").alias("_version"), "doc")
-    sides = modules.withColumn("old", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("_version", F.when(F.col("old"), F.col("prev_version")).otherwise(F.col("curr_version")))
-    path = F.concat(F.lit("$."), F.col("module_path"))
-    sides = sides.join(docs, ["id", "_version"]).withColumn("doc", F.try_variant_get("doc", path, "variant")).select(*keys, "module", "old", "doc").where("doc is not null")
+    known = F.create_map(*[F.lit(x) for item in MODULES.items() for x in item])
+    labels = F.array_sort(F.array_distinct(F.filter("module_labels", lambda m: F.try_element_at(known, m).isNotNull())))  # of labels for one module the first
+    named = F.transform(labels, lambda m: F.struct(m.alias("module"), F.try_element_at(known, m).alias("path")))
+    paths = F.transform(labels, lambda m: F.try_element_at(known, m))
+    chosen = F.filter(named, lambda x, i: F.array_position(paths, x["path"]) == i + 1)
+    docs = lambda name: versions.select("id", F.col("version").alias(name), F.col("doc").alias(f"_{name}"))
+    both = pairs.select(*keys, chosen.alias("_chosen"))
+    both = both.join(docs("prev_version"), ["id", "prev_version"], "left").join(docs("curr_version"), ["id", "curr_version"], "left")
+    cut = lambda c, m: F.try_variant_get(c, F.concat(F.lit("$."), m["path"]), "variant")
+    both = both.select(*keys, "_prev_version", "_curr_version", F.explode("_chosen").alias("_m"))
+    both = both.select(*keys, F.col("_m.module").alias("module"), cut("_prev_version", F.col("_m")).alias("_old"), cut("_curr_version", F.col("_m")).alias("_new"))
+    both = both.where(~F.to_json("_old").eqNullSafe(F.to_json("_new")))  # equal modules are not taken apart
+    sides = both.select(*keys, "module", F.explode(F.array(F.struct(F.lit(True).alias("old"), F.col("_old").alias("doc")), F.struct(F.lit(False).alias("old"), F.col("_new").alias("doc")))).alias("_s"))
+    sides = sides.select(*keys, "module", "_s.old", "_s.doc").where("doc is not null")
     plain = compare(flatten(sides.where(F.col("module") != PLACES), "doc", depth), [*keys, "module"]).withColumnRenamed("path", "field")
     return plain.unionByName(place_changes(sides.where(F.col("module") == PLACES).drop("module"), keys, depth).withColumn("module", F.lit(PLACES))).select(*keys, "module", "field", "old_value", "new_value")
 
 
-def place_changes(sides: DataFrame, keys: list[str], depth: int = DEPTH) -> DataFrame:
+def place_changes(sides: DataFrame, keys: list[str], depth: int | None = None) -> DataFrame:
     """Changes of rows (keys…, old, doc) with ``locations``: places added or removed, and changed details of the others.
 
     A place is known by its facility, else its city, else its position; of two with one name the later
@@ -92,8 +109,7 @@ def place_changes(sides: DataFrame, keys: list[str], depth: int = DEPTH) -> Data
     at = sides.select(*keys, "old", F.posexplode(F.expr("try_variant_get(doc, '$.locations', 'array<variant>')")).alias("_i", "_place"))
     get = lambda p: F.nullif(F.try_variant_get("_place", F.lit(f"$.{p}"), "string"), F.lit(""))
     named = at.withColumn("place", F.coalesce(get("facility"), get("city"), F.concat(F.lit("location_"), "_i"))).withColumn("_said", F.concat_ws(", ", "place", get("city"), get("country")))
-    last = named.groupBy(*keys, "old", "place").agg(F.max("_i").alias("_i"))
-    named = named.join(last, [*keys, "old", "place", "_i"])
+    named = named.groupBy(*keys, "old", "place").agg(F.max_by(F.struct("_said", F.to_json("_place").alias("_json")), "_i").alias("_p")).select(*keys, "old", "place", "_p._said", F.parse_json("_p._json").alias("_place"))
     here = lambda old: F.max(F.when(F.col("old") == old, F.col("_said")))
     there = named.groupBy(*keys, "place").agg(here(True).alias("old_value"), here(False).alias("new_value"))
     moved = there.where("old_value is null or new_value is null").select(*keys, F.when(F.col("old_value").isNull(), "__added__").otherwise("__removed__").alias("field"), "old_value", "new_value")
@@ -136,33 +152,45 @@ def render(changes: DataFrame, keys: list[str]) -> DataFrame:
         .when(module == PLACES, _line("    ", field))
         .otherwise(_line("  ", field))
     )
-    rows = changes.where(~module.isin(RESULTS)).select(*keys, "module", rank.alias("rank"), F.coalesce(F.when(outcome, number), F.lit(0)).alias("number"), head.alias("head"), natural_key(field).alias("order"), line.alias("line"))
-    groups = rows.groupBy(*keys, "module", "rank", "number", "head").agg(F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("order", "line"))), lambda s: s["line"]), "\n").alias("lines"))
-    title = F.when(F.col("head") == "", F.lit("")).when(module == PLACES, F.concat("head", F.lit(" ("), F.col("n").cast("string"), F.lit("):\n"))).otherwise(F.concat("head", F.lit("\n")))
-    sections = groups.groupBy(*keys, "module").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "number", F.concat(title, "lines").alias("text")))), lambda s: s["text"]), "\n").alias("body"))
-    counts = result_counts(changes.where(module.isin(RESULTS)), keys)
+    result = module.isin(RESULTS)
+    old, new = F.col("old_value").isNull(), F.col("new_value").isNull()
+    rows = changes.select(
+        *keys, "module", F.when(result, 0).otherwise(rank).alias("rank"), F.coalesce(F.when(outcome, number), F.lit(0)).alias("number"), F.when(result, "").otherwise(head).alias("head"),
+        F.when(~result, F.struct(natural_key(field).alias("order"), line.alias("line"))).alias("line"), old.alias("added"), (~old & ~new).alias("changed"), new.alias("removed"),
+    )
+    groups = rows.groupBy(*keys, "module", "rank", "number", "head").agg(
+        F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda s: s["line"]), "\n").alias("lines"),
+        *[F.count_if(c).alias(c) for c in ("added", "changed", "removed")],
+    )
     said = lambda c, words: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(words)))
-    summary = counts.select(*keys, "module", F.concat(F.lit("  "), F.concat_ws("; ", said("n_added", " data points added"), said("n_changed", " values updated"), said("n_removed", " data points removed"))).alias("body"))
-    whole = sections.unionByName(summary).withColumn("text", F.concat(F.lit("["), "module", F.lit("]\n"), "body"))
-    text = whole.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("module", "text"))), lambda s: s["text"]), "\n\n").alias("field_changes"))
-    return changes.groupBy(*keys).agg(F.count("*").alias("field_change_count")).join(text, keys)
+    summary = F.concat(F.lit("  "), F.concat_ws("; ", said("added", " data points added"), said("changed", " values updated"), said("removed", " data points removed")))
+    title = F.when(F.col("head") == "", F.lit("")).when(module == PLACES, F.concat("head", F.lit(" ("), F.col("n").cast("string"), F.lit("):\n"))).otherwise(F.concat("head", F.lit("\n")))
+    text = F.when(result, summary).otherwise(F.concat(title, "lines"))
+    sections = groups.groupBy(*keys, "module").agg(F.sum("n").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "number", text.alias("text")))), lambda s: s["text"]), "\n").alias("body"))
+    whole = sections.withColumn("text", F.concat(F.lit("["), "module", F.lit("]\n"), "body"))
+    return whole.groupBy(*keys).agg(F.sum("n").alias("field_change_count"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("module", "text"))), lambda s: s["text"]), "\n\n").alias("field_changes"))
 
 
-def comparison_rows(wanted: DataFrame, pairs: DataFrame, index: DataFrame, rendered: DataFrame) -> DataFrame:
+def comparison_rows(wanted: DataFrame, pairs: DataFrame, index: DataFrame, rendered: DataFrame, failures: DataFrame | None = None, latest: bool = False) -> DataFrame:
     """One row per wanted id and pair: note, total_versions, versions, dates, status, modules, number and text of changes.
 
     note is '' for a comparison, INVALID_NCT_ID for a malformed id, NO_HISTORY, SINGLE_VERSION, or
-    NO_CHANGES_IN_VERSION where no module is listed.
+    NO_CHANGES_IN_VERSION (of ``latest`` pairs NO_CHANGES_IN_LATEST) where no module is listed. ``failures`` (id, error: an
+    HTTP code or a message) are records that could not be read: NCT_NOT_FOUND for 404, INVALID_NCT_ID for 400, else ERROR and what it was.
     """
     total = index.groupBy("id").agg(F.count("*").alias("total_versions"))
     rows = wanted.select("id").distinct().join(total, "id", "left").na.fill(0, ["total_versions"]).join(pairs.drop("total_versions"), "id", "left").join(rendered, ["id", "prev_version", "curr_version"], "left")
+    if failures is not None:
+        rows = rows.join(failures.groupBy("id").agg(F.min(F.col("error").cast("string")).alias("_error")), "id", "left")
+    error = F.col("_error") if failures is not None else F.lit(None).cast("string")
     note = (
-        F.when(~F.col("id").rlike(r"^NCT\d{8}$"), "INVALID_NCT_ID")
+        F.when(error == "404", "NCT_NOT_FOUND").when(error == "400", "INVALID_NCT_ID").when(error.rlike(r"^\d+$"), F.concat(F.lit("ERROR: HTTP "), error)).when(error.isNotNull(), F.concat(F.lit("ERROR: "), error))
+        .when(~F.col("id").rlike(r"^NCT\d{8}$"), "INVALID_NCT_ID")
         .when(F.col("total_versions") == 0, "NO_HISTORY")
         .when(F.col("total_versions") == 1, "SINGLE_VERSION")
-        .when(F.coalesce(F.size("module_labels"), F.lit(0)) == 0, "NO_CHANGES_IN_VERSION")
+        .when(F.coalesce(F.size("module_labels"), F.lit(0)) == 0, "NO_CHANGES_IN_LATEST" if latest else "NO_CHANGES_IN_VERSION")
         .otherwise("")
-    )
+    )
     return rows.select(
         "id", note.alias("note"), "total_versions", "prev_version", "curr_version", "prev_date", "curr_date", "curr_status",
         F.array_join("module_labels", ", ").alias("modules_changed"), F.coalesce("field_change_count", F.lit(0)).alias("field_change_count"), "field_changes",

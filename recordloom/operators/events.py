@@ -15,7 +15,13 @@ ROUTES = [
     ("study status", "completion date", ["DATE_HISTORY", "EMBED_INVALIDATE"]),
     ("study status", "primary completion date", ["DATE_HISTORY", "EMBED_INVALIDATE"]),
     ("study design", "phase", ["PHASE_HISTORY", "EMBED_INVALIDATE"]),
+    ("status", "overall status", ["STATUS_HISTORY", "EMBED_INVALIDATE"]),
+    ("design", "phase", ["PHASE_HISTORY", "EMBED_INVALIDATE"]),
     ("contacts/locations", "*", []),
+    ("status dates", "completion date", ["DATE_HISTORY", "EMBED_INVALIDATE"]),
+    ("status dates", "primary completion date", ["DATE_HISTORY", "EMBED_INVALIDATE"]),
+    ("status dates", "start date", ["DATE_HISTORY"]),
+    ("status dates", "*", []),
     ("*", "*", ["EMBED_INVALIDATE"]),
 ]
 DATE_FIELDS = {"start date": "start_date", "study start date": "start_date", "completion date": "completion_date", "primary completion date": "primary_completion_date"}
@@ -57,6 +63,22 @@ def date_changes(found: DataFrame, keys: list[str]) -> DataFrame:
     return rows.where("date_field is not null").select(*keys, "date_field", "old_value", "new_value")
 
 
+def histories(found: DataFrame, keys: list[str], order: str) -> dict[str, DataFrame]:
+    """What jobs write: "status" and "phase" (keys…, old_value, new_value), "dates" (with date_field), and "invalidated" (keys…).
+
+    ``found`` are events; a job, one per ``keys``, does only the stages that its events need, and no history has a row without a new value.
+    """
+    needs = job_stages(found.withColumn("stages", stages(F.col("module"), F.col("field_name"))), keys)
+    wants = lambda stage: needs.where(F.array_contains("stages", stage)).select(*keys)
+    known = lambda rows, stage: rows.where("new_value <> ''").join(wants(stage), keys, "left_semi")
+    return {
+        "status": known(transitions(found, keys, "overall status", order), "STATUS_HISTORY"),
+        "phase": known(transitions(found, keys, "phase", order), "PHASE_HISTORY"),
+        "dates": known(date_changes(found, keys), "DATE_HISTORY"),
+        "invalidated": wants("EMBED_INVALIDATE"),
+    }
+
+
 def events_of_text(rows: DataFrame, key: str, text: str) -> DataFrame:
     """Events of rendered text: key, pos, module, field_name, change_type, old_value, new_value.
 

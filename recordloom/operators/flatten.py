@@ -80,9 +80,9 @@ def known_values(rows: DataFrame, column: str, sep: str = r" \| ") -> DataFrame:
     return rows.select(F.explode(F.split(column, sep)).alias("v")).select(F.trim("v").alias("value")).where("value <> ''").distinct()
 
 
-def organized(raw: DataFrame, key: str = "nct_id", doc: str = "doc") -> DataFrame:
-    """One wide row per document of (key, JSON text); of several documents of one key the last in text order."""
-    one = raw.groupBy(key).agg(F.max(doc).alias(doc))
+def organized(raw: DataFrame, key: str = "nct_id", doc: str = "doc", order: str | None = None) -> DataFrame:
+    """One wide row per document of (key, JSON text); of several documents of one key the last by ``order``, without it the last in text order."""
+    one = raw.groupBy(key).agg((F.max_by(doc, F.struct(order, doc)) if order else F.max(doc)).alias(doc))
     s = one.select(F.col(key).alias("_key"), F.from_json(doc, STUDY).alias("s"))
     p = lambda path: F.col(f"s.protocolSection.{path}")
     d = lambda path: F.col(f"s.derivedSection.{path}")

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .normalize import small
+from .normalize import BROADCAST_ROWS, small
 
 # First words of contacts that are no persons.
 NO_PERSON = (
-    "medical toll call clinical global senior chief vice executive study director manager regulatory safety trial project country "
-    "regional national local site head pharmacovigilance investigational principal lead general associate assistant"
-).split()
+    "medical", "toll", "call", "clinical", "global", "senior", "chief", "vice", "executive", "study", "director", "manager", "regulatory", "safety",
+    "trial", "project", "country", "regional", "national", "local", "site", "head", "pharmacovigilance", "investigational", "principal", "lead", "general", "associate", "assistant",
+)
 #: From so many keywords on, records and keywords are first joined by word.
 PREFILTER_FROM = 200
 
@@ -58,11 +58,14 @@ def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, patter
     # Runs are cut before they are lowered: some other letters have ASCII ones as their small letters.
     runs = lambda c: F.transform(F.split(c, r"[^A-Za-z0-9]+"), lambda w: F.lower(w))
     lead = keywords.withColumn("_lead", F.try_element_at(F.filter(runs(F.col("term")), lambda w: w != ""), F.lit(1)))
-    words = texts.select(key, "_text", F.explode(F.array_distinct(runs(F.col("_text")))).alias("_lead"))
-    found = words.join(small(lead.where("_lead is not null")), "_lead")
-    loose = texts.join(small(lead.where("_lead is null")), F.expr("true")).select(key, "_text", "_lead", *keywords.columns)
-    found = found.select(key, "_text", "_lead", *keywords.columns).unionByName(loose).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
-    return found.drop("_text", "_lead").distinct()
+    # Where keywords are too many to be broadcast, (row, run) pairs meet them without the texts, which follow by key.
+    known, few = lead.where("_lead is not null"), lead.count() <= BROADCAST_ROWS
+    words = texts.select(key, *(["_text"] if few else []), F.explode(F.array_distinct(runs(F.col("_text")))).alias("_lead"))
+    found = words.join(F.broadcast(known) if few else known, "_lead")
+    found = found if few else found.join(texts, key)
+    loose = texts.join(small(lead.where("_lead is null")), F.expr("true")).select(key, "_text", *keywords.columns)
+    found = found.select(key, "_text", *keywords.columns).unionByName(loose).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
+    return found.drop("_text").distinct()
 
 
 def having_keyword(rows: DataFrame, key: str, text: Column, keywords: DataFrame) -> DataFrame:
@@ -84,7 +87,7 @@ def is_person(name: Column) -> Column:
     """Whether a contact is a person's name: two words at least, no telephone number, no office."""
     n = F.trim(name)
     first = F.rtrim(F.lower(F.element_at(F.split(n, r"\s+"), 1)), F.lit(","))
-    return F.coalesce((F.length(n) >= 4) & (F.size(F.split(n, r"\s+")) >= 2) & ~n.rlike(r"^\d") & ~first.isin(NO_PERSON), F.lit(False))
+    return F.coalesce((F.length(n) >= 4) & (F.size(F.split(n, r"\s+")) >= 2) & ~n.rlike(r"^\d") & ~first.isin(*NO_PERSON), F.lit(False))
 
 
 def without_values(values: Column, blocked: list[str]) -> Column:

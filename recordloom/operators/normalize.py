@@ -16,13 +16,16 @@ def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
-def alias_map(sources: list[DataFrame]) -> DataFrame:
-    """One row (alias, canonical) per alias; of several definitions the first in the first source wins."""
+def alias_map(sources: list[DataFrame], order: str | None = None) -> DataFrame:
+    """One row (alias, canonical) per alias; of several definitions the first in the first source wins.
+
+    First is the one of the smallest ``order`` column of its source; rows have no order of their own, so without it the first by name.
+    """
     rows = None
     for rank, source in enumerate(sources):
-        one = source.select(F.lower(F.trim("alias")).alias("alias"), F.trim("canonical").alias("canonical"), F.lit(rank).alias("rank")).where("alias <> '' and canonical <> ''")
+        one = source.select(F.lower(F.trim("alias")).alias("alias"), F.trim("canonical").alias("canonical"), F.lit(rank).alias("rank"), (F.col(order) if order else F.lit(0)).cast("long").alias("at")).where("alias <> '' and canonical <> ''")
         rows = one if rows is None else rows.unionByName(one)
-    return rows.groupBy("alias").agg(F.min_by("canonical", F.struct("rank", "canonical")).alias("canonical"))
+    return rows.groupBy("alias").agg(F.min_by("canonical", F.struct("rank", "at", "canonical")).alias("canonical"))
 
 
 def with_canonical(rows: DataFrame, name: str, aliases: DataFrame, out: str, clean: bool = True) -> DataFrame:

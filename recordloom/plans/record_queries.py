@@ -69,15 +69,15 @@ def readable_change(spark, d):
     return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", paths.readable(path).alias("said"), label.alias("label"))
 
 
-@query("""SELECT doc_id, left('[source] ' || source || chr(10) || chr(10) || '[text] ' || left(text, 2000), 8000) AS sections FROM documents WHERE text <> '' AND source <> ''""")
+@query("""SELECT doc_id, coalesce('[source] ' || nullif(source, ''), '') || CASE WHEN source <> '' AND text <> '' THEN chr(10) || chr(10) ELSE '' END || coalesce('[text] ' || nullif(text, ''), '') AS sections FROM documents""")
 def labelled_sections(spark, d):
-    docs = read(spark, d, "documents").where("text <> '' and source <> ''")
-    return docs.select("doc_id", scalars.labelled_sections({"source": F.col("source"), "none": F.lit(None).cast("string"), "text": F.col("text")}, 2000, 8000).alias("sections"))
+    sections = scalars.labelled_sections({"source": F.col("source"), "none": F.lit(None).cast("string"), "text": F.col("text")}, None, None)
+    return read(spark, d, "documents").select("doc_id", sections.alias("sections"))
 
 
 @query("""SELECT doc_id, concat_ws(chr(10) || chr(10), CASE WHEN source <> '' THEN '[source] ' || source END, CASE WHEN text <> '' THEN '[text] ' || text END) AS sections FROM documents""")
 def whole_sections(spark, d):
-    """Whole texts of every row, where ``labelled_sections`` cuts them and leaves rows out."""
+    """Whole texts of every row, as ``labelled_sections``."""
     return read(spark, d, "documents").select("doc_id", scalars.labelled_sections({"source": F.col("source"), "text": F.col("text")}).alias("sections"))
 
 
@@ -121,7 +121,7 @@ def keyword_set(spark, d):
     return match.keyword_set(drugs, read(spark, d, "nation").select(F.col("n_name").alias("term")))
 
 
-_CLASSIFY = """WITH p AS (SELECT DISTINCT source AS pipeline FROM documents WHERE source IN ('src0', 'src1', 'src2')),
+_CLASSIFY = """WITH p AS (SELECT DISTINCT source AS pipeline FROM documents WHERE source IS NOT NULL),
 r AS (SELECT doc_id AS id, CAST(n_chars AS VARCHAR) AS updated FROM documents),
 c AS (SELECT r.id, r.updated, p.pipeline,
   CASE WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.id AND l.quality = 1 AND (l.doc_id + length(p.pipeline) + ascii(right(p.pipeline, 1))) % 2 = 0)
@@ -130,12 +130,9 @@ c AS (SELECT r.id, r.updated, p.pipeline,
   FROM r CROSS JOIN p JOIN documents t ON t.doc_id = r.id WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.id AND l.toxic = 1))"""
 
 
-_CLASSIFY_ALL = _CLASSIFY.replace("source IN ('src0', 'src1', 'src2')", "source IS NOT NULL")
-
-
-def _classified(spark, d, pipelines: str = "pipeline in ('src0', 'src1', 'src2')") -> DataFrame:
+def _classified(spark, d) -> DataFrame:
     docs, labels = read(spark, d, "documents"), read(spark, d, "labels")
-    pipelines = docs.select(F.col("source").alias("pipeline")).where(pipelines).distinct()
+    pipelines = docs.select(F.col("source").alias("pipeline")).where("pipeline is not null").distinct()
     records = docs.select(F.col("doc_id").alias("id"), F.col("n_chars").cast("string").alias("updated"))
     every = labels.crossJoin(F.broadcast(pipelines)).select(F.col("doc_id").alias("id"), "pipeline", "quality", "toxic")
     tracking = every.where((F.col("quality") == 1) & ((F.col("id") + F.length("pipeline") + F.ascii(F.right("pipeline", F.lit(1)))) % 2 == 0))
@@ -157,15 +154,15 @@ def bucket_counts(spark, d):
     return classify.bucket_counts(_classified(spark, d))
 
 
-@query(f"{_CLASSIFY_ALL} SELECT * FROM c")
+@query(f"{_CLASSIFY} SELECT * FROM c")
 def classify_all(spark, d):
-    """Every record against every source, where ``classify_trials`` takes three."""
-    return _classified(spark, d, "pipeline is not null")
+    """Every record against every source, as ``classify_trials``."""
+    return _classified(spark, d)
 
 
-@query(f"{_CLASSIFY_ALL} SELECT pipeline, {_COUNTS} FROM c GROUP BY pipeline")
+@query(f"{_CLASSIFY} SELECT pipeline, {_COUNTS} FROM c GROUP BY pipeline")
 def bucket_counts_all(spark, d):
-    return classify.bucket_counts(_classified(spark, d, "pipeline is not null"))
+    return classify.bucket_counts(_classified(spark, d))
 
 
 @query(f"""{_CLASSIFY}, n AS (SELECT {_COUNTS} FROM c), o AS (SELECT count(*) FILTER (o_orderkey % 7 > 0) AS diffs FROM orders), k AS (SELECT count(*) AS fixes FROM customer WHERE c_custkey % 10 = 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,3 +26,13 @@ def query(sql: str | None = None):
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def home_of(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share; without ``spark.checkpoint.dir`` only a local session gets one."""
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="records-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import concepts, events, flatten, merge, redirects, reports, sync
 from ..sources import landing
 from ..streaming import increments
-from .registry import query, read
-
-
-def _home(spark, name: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from .registry import home_of, query, read
 
 
 @query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'landed' FROM customer WHERE c_custkey % 2 = 1 AND c_custkey IN (SELECT o_custkey FROM orders) AND c_acctbal > 0")
@@ -116,7 +109,7 @@ def pending_extraction(spark, d):
 @query("SELECT CAST(user_id AS VARCHAR) AS id, strftime(ts, '%Y-%m-%d') AS updated FROM events GROUP BY ALL")
 def streamed_without_copies(spark, d):
     """Records that land again with the same day, before the watermark, are dropped by the stream."""
-    home = _home(spark, "landings")
+    home = home_of(spark, "landings")
     read(spark, d, "events").select(F.col("user_id").cast("string").alias("id"), F.date_trunc("day", "ts").alias("ts")).repartition(4).write.parquet(f"{home}/in")
     stream = increments.without_late_copies(increments.landings(spark, f"{home}/in", "id string, ts timestamp"), "ts", ["id", "ts"], "60 days")
     increments.drain(stream, f"{home}/checkpoint", lambda batch, n: batch.write.mode("overwrite").parquet(f"{home}/out/batch={n}")).awaitTermination()
@@ -127,20 +120,20 @@ def streamed_without_copies(spark, d):
 @query("SELECT o_orderkey AS id, o_orderstatus AS status, 'X' AS seen FROM orders")
 def streamed_upsert(spark, d):
     """A stream merged into a table batch by batch; a batch that comes again changes nothing."""
-    home = _home(spark, "upserts")
+    home = home_of(spark, "upserts")
     o = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.lit("X").alias("seen"))
     o.repartition(3).write.parquet(f"{home}/in")
     o.withColumn("seen", F.lit("old")).where("id % 2 = 0").write.parquet(f"{home}/table/v=-1")
     schema = "id bigint, status string, seen string"
-    done = [-1]
 
-    def apply(batch, n: int) -> None:
-        table = spark.read.schema(schema).parquet(f"{home}/table/v={done[-1]}")
+    def apply(batch, n: int) -> None:  # batches follow each other, so the table before batch n is the one that batch n - 1 left
+        table = spark.read.schema(schema).parquet(f"{home}/table/v={n - 1}")
         merge.upsert(table, merge.prepared(batch, ["id"], [F.col("seen")]), ["id"]).write.mode("overwrite").parquet(f"{home}/table/v={n}")
-        done.append(n)
 
-    increments.drain(increments.landings(spark, f"{home}/in", schema, files=1), f"{home}/checkpoint", apply).awaitTermination()
-    return spark.read.schema(schema).parquet(f"{home}/table/v={done[-1]}")
+    query = increments.drain(increments.landings(spark, f"{home}/in", schema, files=1), f"{home}/checkpoint", apply)
+    query.awaitTermination()
+    last = spark.read.option("basePath", f"{home}/table").schema(f"{schema}, v int").parquet(f"{home}/table").agg(F.max("v")).first()[0]
+    return spark.read.schema(schema).parquet(f"{home}/table/v={last}")
 
 
 @query("SELECT n_name AS value FROM nation WHERE n_regionkey = 1")
@@ -156,5 +149,12 @@ def dead_letters(spark, d):
 
 @query("SELECT p_partkey AS id, row_number() OVER (ORDER BY p_partkey) AS place FROM part WHERE p_partkey NOT IN (SELECT s_suppkey FROM supplier)")
 def resumed_ingest(spark, d):
+    """What is left to ingest, numbered in order: ids are dealt by range, and each range begins where those before it end."""
     todo = landing.not_landed(read(spark, d, "part").select(F.col("p_partkey").alias("id")), read(spark, d, "supplier").select(F.col("s_suppkey").alias("id")))
-    return todo.withColumn("place", F.row_number().over(Window.orderBy("id")).cast("long"))
+    home = home_of(spark, "ingest")
+    todo.repartitionByRange("id").withColumn("range", F.spark_partition_id()).write.parquet(f"{home}/dealt")
+    dealt = spark.read.schema("id bigint, range int").parquet(f"{home}/dealt")
+    sizes = dealt.groupBy("range").agg(F.count("*").alias("n"))  # one row per range
+    before = sizes.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("id")) + F.col("before")
+    return dealt.join(F.broadcast(before), "range").select("id", place.cast("long").alias("place"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import diff, events, reports, versions
 from ..streaming import increments
-from .registry import query, read
+from .registry import home_of, query, read
 
 _INDEX = """v AS (
   SELECT user_id AS id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS version, strftime(ts, '%Y-%m-%d') AS date, event_type AS status,
@@ -125,15 +125,15 @@ def event_route(spark, d):
     return found.select("id", "curr_version", "module", "field_name", "change_type", F.array_join(events.stages(F.col("module"), F.col("field_name")), ",").alias("stages"))
 
 
-@query(f"WITH {_CHANGES} SELECT id, CASE WHEN bool_or(field = 'overallStatus') THEN 'EMBED_INVALIDATE,STATUS_HISTORY' ELSE 'EMBED_INVALIDATE' END AS stages FROM c WHERE curr_version % 10 = 0 GROUP BY id")
+@query(f"WITH {_CHANGES} SELECT id, CASE WHEN bool_or(field = 'overallStatus') THEN 'EMBED_INVALIDATE,STATUS_HISTORY' ELSE 'EMBED_INVALIDATE' END AS stages FROM c GROUP BY id")
 def job_stages(spark, d):
-    found = events.events(_changes(spark, d).where("curr_version % 10 = 0"))
+    found = events.events(_changes(spark, d))
     return events.job_stages(found.withColumn("stages", events.stages(F.col("module"), F.col("field_name"))), ["id"]).select("id", F.array_join("stages", ",").alias("stages"))
 
 
 @query(f"WITH {_CHANGES} SELECT id, CASE WHEN bool_or(field = 'overallStatus') THEN 'EMBED_INVALIDATE,STATUS_HISTORY' ELSE 'EMBED_INVALIDATE' END AS stages FROM c GROUP BY id")
 def all_job_stages(spark, d):
-    """The stages of the changes of all versions, where ``job_stages`` takes every tenth."""
+    """The stages of the changes of all versions, as ``job_stages``."""
     found = events.events(_changes(spark, d))
     return events.job_stages(found.withColumn("stages", events.stages(F.col("module"), F.col("field_name"))), ["id"]).select("id", F.array_join("stages", ",").alias("stages"))
 
@@ -169,14 +169,27 @@ def facility_diff(spark, d):
     return diff.place_changes(sides.select("id", "old", F.parse_json(F.to_json(doc)).alias("doc")), ["id"], depth=3)
 
 
-@query(f"""WITH {_PAIRS} SELECT id, max(CASE WHEN curr_version = 2 THEN curr_status END) AS "1-2", max(CASE WHEN curr_version = 3 THEN curr_status END) AS "2-3", max(CASE WHEN curr_version = 4 THEN curr_status END) AS "3-4" FROM p GROUP BY id""")
+@query(f"WITH {_PAIRS}, q AS (SELECT id, prev_version || '-' || curr_version AS pair, curr_status FROM p) PIVOT q ON pair USING max(curr_status) GROUP BY id")
 def wide_pair_report(spark, d):
-    return reports.wide_pairs(_pairs(spark, d), "id", F.concat_ws("-", F.col("prev_version").cast("string"), F.col("curr_version").cast("string")), "curr_status", ["1-2", "2-3", "3-4"])
+    """A column for every pair of versions that any record has; there are as many as versions of the longest history."""
+    pair = F.concat_ws("-", F.col("prev_version").cast("string"), F.col("curr_version").cast("string"))
+    rows = _pairs(spark, d)
+    names = [r[0] for r in rows.select(pair.alias("pair"), "curr_version").distinct().orderBy("curr_version").collect()]
+    return reports.wide_pairs(rows, "id", pair, "curr_status", names)
+
+
+@query(f"WITH {_CHANGES}, m AS (SELECT id, arg_min(old_value, curr_version) AS old_value, arg_min(new_value, curr_version) AS new_value FROM c WHERE field = 'overallStatus' GROUP BY id) SELECT 'status' AS history, id, old_value, new_value FROM m UNION ALL SELECT DISTINCT 'invalidated', id, NULL, NULL FROM c")
+def job_histories(spark, d):
+    """All histories that a record's events feed, and the records whose documents are invalidated."""
+    found = events.histories(events.events(_changes(spark, d)), ["id"], "curr_version")
+    none = F.lit(None).cast("string")
+    rows = [f.select(F.lit(name).alias("history"), "id", *(("old_value", "new_value") if name != "invalidated" else (none.alias("old_value"), none.alias("new_value")))) for name, f in found.items()]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
 
 
 @query(f"WITH {_PAIRS} SELECT id, prev_version || '-' || curr_version AS pair, curr_status AS value FROM p")
 def pair_report(spark, d):
-    """All pairs of all ids as long rows, where ``wide_pair_report`` has columns for three pairs."""
+    """All pairs of all ids as long rows, where ``wide_pair_report`` has columns."""
     return _pairs(spark, d).select("id", F.concat_ws("-", F.col("prev_version").cast("string"), F.col("curr_version").cast("string")).alias("pair"), F.col("curr_status").alias("value"))
 
 
@@ -216,10 +229,7 @@ def note_histogram(spark, d):
 @query(f"WITH {_PAIRS} SELECT id, prev_version, curr_version FROM p")
 def streamed_version_pairs(spark, d):
     """Pairs from keyed state: all versions read as a stream until it is drained."""
-    import uuid
-
-    root = (spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-    home = f"{root}/version-pairs-{uuid.uuid4().hex}"
+    home = home_of(spark, "version-pairs")
     index(spark, d).select(F.col("id").cast("string").alias("id"), "version").write.parquet(f"{home}/in")
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", increments.ROCKS)

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODULES = {
-    "protocolSection": "identificationModule statusModule sponsorCollaboratorsModule oversightModule descriptionModule conditionsModule designModule armsInterventionsModule outcomesModule eligibilityModule contactsLocationsModule ipdSharingStatementModule referencesModule".split(),
-    "derivedSection": "conditionBrowseModule interventionBrowseModule miscInfoModule".split(),
+    "protocolSection": ("identificationModule", "statusModule", "sponsorCollaboratorsModule", "oversightModule", "descriptionModule", "conditionsModule", "designModule", "armsInterventionsModule", "outcomesModule", "eligibilityModule", "contactsLocationsModule", "ipdSharingStatementModule", "referencesModule"),
+    "derivedSection": ("conditionBrowseModule", "interventionBrowseModule", "miscInfoModule"),
 }
 
 

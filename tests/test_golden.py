@@ -177,3 +177,58 @@ def test_extraction_of_wanted_records(spark):
     assert got == {1: ("ECOG_0_1", None, None), 2: ("S", "R", None)}
     mine = {r["id"]: r["STATUS"] for r in concepts.extraction(rows, ids, words, routes, elsewhere, external_first=False).collect()}
     assert mine == {1: "ECOG_0_1", 2: "ECOG_0"}
+
+
+def test_a_clause_bounds_what_is_past_and_what_is_negative(spark):
+    rows = [(1, "LINE", "No prior surgery. Patients get first-line therapy", 1), (2, "LINE", "after failed first-line therapy", 0), (3, "STATUS", "HR negative, stage IV, her2 positive", 1), (4, "STATUS", "negative for her2", 0), (5, "STATUS", "no negative, her2 finding", 0)]
+    texts = spark.createDataFrame([(i, "LINE_OF_THERAPY" if c == "LINE" else c, t) for i, c, t, _ in rows], "id long, concept string, text string")
+    words = spark.createDataFrame([("1", "LINE_OF_THERAPY", "FIRST_LINE", "first-line", 1.0, False), ("2", "STATUS", "HER2", "her2", 1.0, True)], "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean")
+    assert {r["id"] for r in concepts.concepts(texts, words).collect()} == {i for i, _, _, n in rows if n}
+
+
+def test_context_has_no_end_but_its_characters(spark):
+    text = "EGFR " * 60 + "was measured"  # more mentions than gaps were once read
+    texts = spark.createDataFrame([(1, "GENE", text)], "id long, concept string, text string")
+    words = spark.createDataFrame([("1", "GENE", "EGFR", "EGFR", 1.0, True)], "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean")
+    found = concepts.occurrences(texts, concepts.variants(words)).collect()
+    assert len(found) == 60
+    for i, r in enumerate(sorted(found, key=lambda r: -len(r["after"]) if len(r["after"]) < 200 else -1000)):
+        assert len(r["before"]) <= 200 and len(r["after"]) <= 200
+    assert max(len(r["after"]) for r in found) == 200 and any(r["after"] == " was measured" for r in found)
+
+
+def test_deep_documents_are_read_to_their_leaves(spark):
+    deep = "{\"a\":" * 25 + "[1]" + "}" * 25
+    df = spark.createDataFrame([(deep,), ('{"s":"[{"}',)], "doc string").withColumn("doc", F.parse_json("doc"))
+    assert diff.nesting(df, "doc") == 26
+    assert {r["path"] for r in diff.flatten(df, "doc").collect()} == {".".join("a" * 25) + "[0]", "s"}
+
+
+def test_notes_of_failures_and_latest_pairs(spark):
+    wanted = spark.createDataFrame([(f"NCT0000000{i}",) for i in range(6)], "id string")
+    index = spark.createDataFrame([("NCT00000004", 1), ("NCT00000004", 2)], "id string, version int")
+    pairs = spark.createDataFrame([("NCT00000004", 1, 2, [])], "id string, prev_version int, curr_version int, module_labels array<string>")
+    for c in ("prev_date", "curr_date", "curr_status"):
+        pairs = pairs.withColumn(c, F.lit("x"))
+    rendered = spark.createDataFrame([], "id string, prev_version int, curr_version int, field_change_count long, field_changes string")
+    failures = spark.createDataFrame([("NCT00000000", "404"), ("NCT00000001", "400"), ("NCT00000002", "503"), ("NCT00000003", "timeout")], "id string, error string")
+    got = {r["id"][-1]: r["note"] for r in diff.comparison_rows(wanted, pairs, index, rendered, failures, latest=True).collect()}
+    assert got == {"0": "NCT_NOT_FOUND", "1": "INVALID_NCT_ID", "2": "ERROR: HTTP 503", "3": "ERROR: timeout", "4": "NO_CHANGES_IN_LATEST", "5": "NO_HISTORY"}
+
+
+def test_first_and_last_definitions_by_order(spark):
+    source = spark.createDataFrame([("X", "Zeta", 1), ("x", "Alpha", 2)], "alias string, canonical string, at int")
+    assert normalize.alias_map([source], "at").collect()[0]["canonical"] == "Zeta" and normalize.alias_map([source]).collect()[0]["canonical"] == "Alpha"
+    docs = spark.createDataFrame([("N", '{"protocolSection":{"identificationModule":{"acronym":"Z"}}}', 1), ("N", '{"protocolSection":{"identificationModule":{"acronym":"A"}}}', 2)], "nct_id string, doc string, at int")
+    assert flatten.organized(docs, order="at").collect()[0]["acronym"] == "A"
+
+
+def test_routes_of_other_module_names_and_histories(spark):
+    rows = [(1, "Status Dates", "start date"), (2, "Status Dates", "other"), (3, "status", "overall status"), (4, "Design", "phase"), (5, "Status Dates", "completion date")]
+    df = spark.createDataFrame(rows, "id int, module string, field string")
+    got = {r["id"]: r["s"] for r in df.select("id", events.stages(F.col("module"), F.col("field")).alias("s")).collect()}
+    assert got == {1: ["DATE_HISTORY"], 2: [], 3: ["STATUS_HISTORY", "EMBED_INVALIDATE"], 4: ["PHASE_HISTORY", "EMBED_INVALIDATE"], 5: ["DATE_HISTORY", "EMBED_INVALIDATE"]}
+    found = spark.createDataFrame([("a", 2, "Study Status", "overallStatus", "OPEN", "CLOSED"), ("a", 3, "Study Design", "phases[0]", "P1", "P2"), ("a", 3, "Study Status", "startDateStruct.date", "2020", "2021"), ("b", 2, "Contacts/Locations", "x", "1", "2")], "id string, curr_version int, module string, field string, old_value string, new_value string")
+    h = events.histories(events.events(found), ["id"], "curr_version")
+    assert [tuple(r) for r in h["status"].collect()] == [("a", "OPEN", "CLOSED")] and [tuple(r) for r in h["phase"].collect()] == [("a", "P1", "P2")]
+    assert [r["date_field"] for r in h["dates"].collect()] == ["start_date"] and [r["id"] for r in h["invalidated"].collect()] == ["a"]
