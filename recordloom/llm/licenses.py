@@ -2,7 +2,8 @@
 
 Every sentence of every text is a paragraph. Sparse word n-grams (one, two and three words, hashed) feed a
 multinomial logistic regression over licence families, with a class for other licences and one for ordinary
-text. Probabilities are calibrated by a temperature on sentences left out of the fit. A family is
+text. Probabilities are calibrated by a temperature on sentences left out of the fit, and the threshold of unknown
+licences on others. A family is
 reported only if one of its templates confirms it: enough of the template's n-grams stand in the
 paragraph; a licence sentence that no template confirms is reported as unknown.
 """
@@ -24,16 +25,23 @@ from .wordhash import mix, word_hashes
 
 # Sentences by which licences are commonly declared.
 TEMPLATES = {
+    "agpl": ["This work is licensed under the GNU Affero General Public License, version 3", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "Licensed under the AGPL v3", "SPDX-License-Identifier: AGPL-3.0-only"],
     "apache": ["Licensed under the Apache License, Version 2.0", "You may not use this file except in compliance with the License", "distributed under the Apache License 2.0", "SPDX-License-Identifier: Apache-2.0"],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted", "Released under the BSD 3-Clause License", "Licensed under the BSD license", "SPDX-License-Identifier: BSD-3-Clause"],
+    "boost": ["Distributed under the Boost Software License, Version 1.0", "Licensed under the Boost Software License", "SPDX-License-Identifier: BSL-1.0"],
     "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License", "Licensed under CC BY 4.0", "available under the Creative Commons Attribution license"],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "This work is licensed under CC BY-NC 3.0"],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "text is available under the Creative Commons Attribution-ShareAlike License"],
     "cc0": ["To the extent possible under law, the author has waived all copyright", "Released into the public domain", "Licensed under CC0 1.0 Universal"],
+    "epl": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Licensed under the Eclipse Public License", "SPDX-License-Identifier: EPL-2.0"],
     "gpl": ["This work is licensed under the GNU General Public License, version 3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "Licensed under the GPL v2", "SPDX-License-Identifier: GPL-3.0-or-later"],
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Licensed under the ISC License", "SPDX-License-Identifier: ISC"],
     "lgpl": ["Licensed under the GNU Lesser General Public License, version 3", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "Licensed under the LGPL v2.1"],
     "mit": ["Released under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "Licensed under the MIT license", "SPDX-License-Identifier: MIT"],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License 2.0"],
+    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "Licensed under the Mozilla Public License 2.0", "SPDX-License-Identifier: MPL-2.0"],
+    "ofl": ["This Font Software is licensed under the SIL Open Font License, Version 1.1", "Licensed under the SIL Open Font License", "SPDX-License-Identifier: OFL-1.1"],
+    "unlicense": ["This is free and unencumbered software released into the public domain", "Released under the Unlicense", "SPDX-License-Identifier: Unlicense"],
+    "zlib": ["Permission is granted to anyone to use this software for any purpose, including commercial applications", "Licensed under the zlib License", "SPDX-License-Identifier: Zlib"],
 }
 FAMILIES = sorted(TEMPLATES)
 UNKNOWN, ORDINARY = len(FAMILIES), len(FAMILIES) + 1
@@ -41,8 +49,10 @@ CLASSES = [*FAMILIES, "unknown", "none"]
 BITS = 16
 #: Documents of the sample whose sentences stand for ordinary text.
 FIT_DOCUMENTS = 1000
-#: Probability of not being ordinary text from which a sentence that no template confirms counts as an unknown licence.
-UNKNOWN_FROM = 0.98
+#: Share of ordinary sentences that may pass for an unknown licence; the least probability for that is calibrated, and no less than ``UNKNOWN_LEAST``.
+UNKNOWN_SHARE, UNKNOWN_LEAST = 0.001, 0.9
+#: Words that a declaration of an unknown licence has at least; a word or two, without a template, tell nothing.
+UNKNOWN_WORDS = 3
 #: Share of a template's n-grams that a paragraph must have.
 CONFIRMED = 0.5
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -87,6 +97,7 @@ class Classifier:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    unknown_from: float = UNKNOWN_LEAST
 
     def probabilities(self, first: np.ndarray, last: np.ndarray, by_n: list[np.ndarray]) -> np.ndarray:
         """Of each sentence, one column per class."""
@@ -121,9 +132,9 @@ def examples(texts: list[str], seed: int = 5) -> tuple[list[str], np.ndarray]:
 def train(texts: list[str], epochs: int = 6) -> Classifier:
     sentences, labels = examples(texts)
     _, first, last, by_n = grams(sentences)
-    labels = labels[: len(first)]
+    assert len(labels) == len(first), "every example is one sentence"
     index = np.concatenate([_buckets(h, n) for n, h in enumerate(by_n)]).reshape(3, -1)
-    cut = len(first) * 4 // 5
+    cut, last_part = len(first) * 7 // 10, len(first) * 17 // 20  # the rest: one part for the temperature, another for the threshold
     m = Classifier(np.zeros((1 << BITS, len(CLASSES)), dtype=np.float32), np.zeros(len(CLASSES)))
     squares = np.full_like(m.weights, 1e-3)
     for _ in range(epochs):
@@ -140,13 +151,15 @@ def train(texts: list[str], epochs: int = 6) -> Classifier:
                 squares[own] += grad * grad
                 m.weights[own] -= 0.5 * grad / np.sqrt(squares[own])
             m.bias -= 0.02 * p.mean(axis=0)
-    held = lambda: m.probabilities(first[cut:] - first[cut], last[cut:] - first[cut], [h[first[cut] :] for h in by_n])
-    if cut < len(first):
+    held = lambda a, b: m.probabilities(first[a:b] - first[a], last[a:b] - first[a], [h[first[a] : last[b - 1]] for h in by_n])
+    if cut < last_part < len(first):
         fits = {}
         for t in (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0):
             m.temperature = t
-            fits[t] = -np.log(held()[np.arange(len(first) - cut), labels[cut:]] + 1e-9).mean()
+            fits[t] = -np.log(held(cut, last_part)[np.arange(last_part - cut), labels[cut:last_part]] + 1e-9).mean()
         m.temperature = min(fits, key=fits.get)
+        ordinary = 1 - held(last_part, len(first))[labels[last_part:] == ORDINARY, ORDINARY]
+        m.unknown_from = max(UNKNOWN_LEAST, float(np.quantile(ordinary, 1 - UNKNOWN_SHARE))) if len(ordinary) else UNKNOWN_LEAST
     return m
 
 
@@ -162,6 +175,7 @@ def _scanned(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[p
     known = _template_grams()
     for batch, texts in slices(batches):
         found: list[list[tuple[str, float]]] = [[] for _ in texts]
+        at: dict[int, int] = {}
         sentences = np.zeros(len(texts), dtype=np.int64)
         owner, first, last, by_n = grams(texts)
         if len(first):
@@ -171,8 +185,13 @@ def _scanned(batches: Iterator[pa.RecordBatch], model: Classifier) -> Iterator[p
                 k = int(p[s, :ORDINARY].argmax())
                 own = np.unique(by_n[1][first[s] : max(first[s] + 1, last[s] - 1)])
                 sure = k < UNKNOWN and any(np.isin(t, own, assume_unique=True).mean() >= CONFIRMED for t in known[k])
-                if sure or p[s, ORDINARY] <= 1 - UNKNOWN_FROM:
-                    found[owner[s]].append((CLASSES[k] if sure else "unknown", float(p[s, k])))
+                if sure or last[s] - first[s] >= UNKNOWN_WORDS and 1 - p[s, ORDINARY] > model.unknown_from:
+                    family, own_text = CLASSES[k] if sure else "unknown", found[owner[s]]
+                    if own_text and own_text[-1][0] == family and at[owner[s]] == s - 1:  # sentences in a row are one finding
+                        own_text[-1] = (family, max(own_text[-1][1], float(p[s, k])))
+                    else:
+                        own_text.append((family, float(p[s, k])))
+                    at[owner[s]] = s
         families = [",".join(sorted({f for f, _ in r})) for r in found]
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array(sentences, pa.int64()), pa.array([len(r) for r in found], pa.int64()), pa.array([sum(f == "unknown" for f, _ in r) for r in found], pa.int64()),
@@ -191,7 +210,7 @@ def fitted(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Classifier:
 def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     """Licence declarations in every whole text; one row per input row.
 
-    n_sentences, n_licence (those that declare a licence), n_unknown (of these, ones that no template confirms),
+    n_sentences, n_licence (findings; successive sentences of one family are one), n_unknown (of these, ones that no template confirms),
     families (sorted, comma-joined, "unknown" among them) and the highest probability. A null or empty text has none.
     Rows may repeat, texts may be very long; other columns are ignored. An empty table gives an empty result.
     """

@@ -2,9 +2,10 @@
 
 The rules find assignments, access keys and hexadecimal strings. Every other token near a credential word,
 and elsewhere every long or mixed one, is a candidate; the network sees all its characters and those around
-it, and adds it where its calibrated score passes a threshold. The network is fitted in numpy on findings
+it, and adds it where its calibrated score passes the threshold of its shape. The network is fitted in numpy on findings
 that the rules label in a bounded sample of the corpus, on variations of them and, as negatives, on tokens
-known to be harmless; the threshold is the highest that keeps the wanted recall on findings left out of the fit.
+known to be harmless. A part left out of the fit calibrates the scores, another the thresholds: of each
+shape the highest that keeps the wanted recall.
 """
 
 from __future__ import annotations
@@ -143,6 +144,16 @@ def encode_whole(text: str, start: int, end: int) -> list[np.ndarray]:
     return out
 
 
+SHAPES = ("hex", "mixed", "letters")
+
+
+def shape(token: str) -> int:
+    """Hexadecimal digits; letters and signs alone; or mixed with digits."""
+    if re.fullmatch(r"[0-9a-fA-F-]{8,}", token):
+        return 0
+    return 1 if any(c.isdigit() for c in token) else 2
+
+
 @dataclass
 class Network:
     embed: np.ndarray
@@ -152,7 +163,12 @@ class Network:
     bias: float
     slope: float = 1.0
     shift: float = 0.0
-    threshold: float = 0.5
+    thresholds: tuple[float, ...] = (0.5, 0.5, 0.5)
+
+    def finds(self, text_places: list[tuple[str, int, int]]) -> np.ndarray:
+        """Whether each candidate is a secret."""
+        least = np.array([self.thresholds[shape(t[s:e])] for t, s, e in text_places])
+        return self.score_whole(text_places) >= least
 
     def _forward(self, codes: np.ndarray):
         e = self.embed[codes]
@@ -193,18 +209,22 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -30, 30)))
 
 
-def _varied(rng: random.Random, texts: list[str]) -> list[tuple[np.ndarray, int]]:
-    """Findings in other words, and tokens that are none, in contexts from the corpus."""
+#: Names of credentials that variations have.
+NAMES = ("pwd", "passphrase", "auth_token", "client_secret", "private_key", "access_key", "bearer", "credential", "apikey", "secret_key", "password", "token")
+
+
+def _varied(rng: random.Random, texts: list[str], names: tuple[str, ...] = NAMES) -> list[tuple[str, int, int, int]]:
+    """Findings in other words, and tokens that are none, in contexts from the corpus: (text, start, end, label)."""
     hexes, letters = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-    names = ("pwd", "passphrase", "auth_token", "client_secret", "private_key", "access_key", "bearer", "credential", "apikey", "secret_key", "password", "token")
     word = lambda: rng.choice(rng.choice(texts).split() or ["a"])[:20]
     pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
     rows = []
     for _ in range(900):
         secret = rng.choice((lambda: pick(hexes, rng.randint(18, 40)), lambda: pick(letters + "+/", rng.randint(20, 44)), lambda: rng.choice(("ghp_", "sk-", "xoxb-", "AKIA")) + pick(letters, rng.randint(20, 36))))()
-        lead = f"{word()} {rng.choice(names)}{rng.choice((' = ', '=', ': ', '=\"', ': \"'))}"
+        name = rng.choice(names) if rng.random() < 0.7 else word()  # long random strings are secrets beside any word
+        lead = f"{word()} {name}{rng.choice((' = ', '=', ': ', '=\"', ': \"'))}"
         text = f"{lead}{secret} {word()}"
-        rows.append((encode(text, len(lead), len(lead) + len(secret)), 1))
+        rows.append((text, len(lead), len(lead) + len(secret), 1))
         number = rng.choice((
             lambda: pick("0123456789", rng.randint(16, 19)),
             lambda: "-".join(pick("0123456789", 4) for _ in range(4)),
@@ -215,7 +235,7 @@ def _varied(rng: random.Random, texts: list[str]) -> list[tuple[np.ndarray, int]
             lambda: f"{word()}{word()}{word()}{rng.randint(1, 9)}",
         ))()
         lead = f"{word()} {word()} "
-        rows.append((encode(f"{lead}{number} {word()}", len(lead), len(lead) + len(number)), 0))
+        rows.append((f"{lead}{number} {word()}", len(lead), len(lead) + len(number), 0))
         secret = rng.choice((
             lambda: pick(letters, rng.randint(6, 15)) + pick("0123456789", 2),
             lambda: pick(letters, rng.randint(3, 8)) + rng.choice("!@#$%.&*") + pick(letters, rng.randint(3, 8)),
@@ -224,10 +244,10 @@ def _varied(rng: random.Random, texts: list[str]) -> list[tuple[np.ndarray, int]
             *[lambda: rng.choice("--_.").join(word().strip(MARKS) for _ in range(rng.randint(3, 5)))] * 3,
         ))()
         lead = f"{word()} {rng.choice(names)}{rng.choice((' = ', '=', ': ', '=\"', ' is ', ': '))}"
-        rows.append((encode(f"{lead}{secret} {word()}", len(lead), len(lead) + len(secret)), 1))
+        rows.append((f"{lead}{secret} {word()}", len(lead), len(lead) + len(secret), 1))
         plain = rng.choice((word, word, lambda: word() + word()))()
         lead = f"{word()} {rng.choice(names)} {rng.choice(('', word() + ' ', 'is ', 'was ', 'for '))}"
-        rows.append((encode(f"{lead}{plain} {word()}", len(lead), len(lead) + len(plain)), 0))
+        rows.append((f"{lead}{plain} {word()}", len(lead), len(lead) + len(plain), 0))
     return rows
 
 
@@ -237,7 +257,7 @@ def harmless(token: str, documents: int) -> bool:
 
 
 def train(texts: list[str], recall: float = RECALL, epochs: int = 8, seed: int = 11) -> Network:
-    """Fit on what the rules label in ``texts`` and on variations; calibrate and choose the threshold on a left-out fifth."""
+    """Fit on what the rules label in ``texts`` and on variations; calibrate on a left-out tenth and choose thresholds on another."""
     rng = random.Random(seed)
     rows = _varied(rng, [t for t in texts if t.strip()] or ["text"])
     counts = Counter(w for t in texts for w in {t[s:e] for s, e in candidates(t, [])})
@@ -246,11 +266,13 @@ def train(texts: list[str], recall: float = RECALL, epochs: int = 8, seed: int =
         for start, kind, end in base:
             if kind == 0:
                 start = end - len(ASSIGN.match(t, start)[2])
-            rows.append((encode(t, start, end), 1))
-        rows += [(encode(t, *c), 0) for c in candidates(t, base) if harmless(t[c[0] : c[1]], counts[t[c[0] : c[1]]])]
+            rows.append((t, start, end, 1))
+        rows += [(t, s, e, 0) for s, e in candidates(t, base) if harmless(t[s:e], counts[t[s:e]])]
     rng.shuffle(rows)
-    codes, labels = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
-    cut = len(rows) * 4 // 5
+    first, second = len(rows) * 8 // 10, len(rows) * 9 // 10
+    windows = [(w, label) for t, s, e, label in rows[:first] for w in encode_whole(t, s, e)]  # of a long token all windows
+    codes, labels = np.array([w for w, _ in windows]), np.array([label for _, label in windows], dtype=float)
+    cut = len(windows)
     gen = np.random.default_rng(seed)
     params = {"embed": gen.normal(0, 0.3, (CODES, EMBED)), "conv": gen.normal(0, 0.2, (EMBED * WIDTH, FILTERS)), "conv_bias": np.zeros(FILTERS), "out": gen.normal(0, 0.3, FILTERS), "bias": np.zeros(1)}
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
@@ -273,15 +295,19 @@ def train(texts: list[str], recall: float = RECALL, epochs: int = 8, seed: int =
                 v[:] = 0.999 * v + 0.001 * g * g
                 params[name] = params[name] - 0.01 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     found = net()
-    z, y = found._forward(codes[cut:])[3], labels[cut:]
+    places, y = [r[:3] for r in rows[first:second]], np.array([r[3] for r in rows[first:second]], dtype=float)
+    raw = found.score_whole(places)
+    z = np.log(raw / (1 - raw))
     slope, shift = 1.0, 0.0
     for _ in range(200):  # Platt scaling
         p = 1 / (1 + np.exp(-np.clip(slope * z + shift, -30, 30)))
         slope -= 0.1 * float(((p - y) * z).mean())
         shift -= 0.1 * float((p - y).mean())
     found.slope, found.shift = slope, shift
-    own = np.sort(found.score(codes[cut:])[y == 1])
-    found.threshold = float(own[int((1 - recall) * len(own))])
+    held = [r for r in rows[second:] if r[3]]
+    scores, shapes = found.score_whole([r[:3] for r in held]), np.array([shape(r[0][r[1] : r[2]]) for r in held])
+    least = lambda own: float(np.sort(own)[int((1 - recall) * len(own))]) if len(own) else 0.5
+    found.thresholds = tuple(least(scores[shapes == k] if (shapes == k).sum() >= 20 else scores) for k in range(len(SHAPES)))
     return found
 
 
@@ -291,9 +317,9 @@ def _scanned(batches: Iterator[pa.RecordBatch], network: Network) -> Iterator[pa
         places = [(i, start, end) for i, t in enumerate(texts) for start, end in candidates(t, base[i])]
         every = [list(b) for b in base]
         if places:
-            scores = network.score_whole([(texts[i], s, e) for i, s, e in places])
-            for (i, start, end), p in zip(places, scores, strict=True):
-                if p >= network.threshold:
+            found = network.finds([(texts[i], s, e) for i, s, e in places])
+            for (i, start, end), secret in zip(places, found, strict=True):
+                if secret:
                     every[i].append((start, 3, end))
         said = lambda spans: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
         count = lambda k: pa.array([sum(x[1] == k for x in b) for b in base], pa.int64())
