@@ -138,3 +138,8 @@ def new_jobs(queue: DataFrame, compared: DataFrame, candidates: DataFrame) -> Da
     changed = compared.where(F.coalesce(F.col("field_change_count").try_cast("int"), F.lit(0)) > 0)
     jobs = changed.select("id", "dept", F.lit("TRIAL_MODIFIED").alias("job_type"), F.lit("IMMEDIATE").alias("priority"), "run_date").unionByName(candidates.select("id", "dept", F.lit("NEW_TRIAL").alias("job_type"), F.lit("NORMAL").alias("priority"), "run_date"))
     return insert_if_absent(queue.select(*jobs.columns), jobs, ["id", "dept", "job_type", "run_date"])
+
+
+def only_invalidating(jobs: DataFrame) -> DataFrame:
+    """Jobs of new or newly listed records, which only invalidate documents."""
+    return jobs.where(F.col("job_type").isin("NEW_TRIAL", "TRACKING_LIST_ADDED"))

@@ -124,3 +124,8 @@ def with_columns_added(rows: DataFrame, added: dict[str, str]) -> DataFrame:
 def overwrite(table: DataFrame, path: str) -> None:
     """Write a merged table. It must not be read from ``path`` itself: the result goes to a new path, then readers are switched."""
     table.write.mode("errorifexists").parquet(path)
+
+
+def append(rows: DataFrame, path: str) -> None:
+    """Add rows to a table as they are."""
+    rows.write.mode("append").parquet(path)

@@ -38,3 +38,23 @@ def sheets(prior: DataFrame, fresh: DataFrame) -> dict[str, DataFrame]:
     """The latest comparison of every id: all of them, and the newly compared ones."""
     rest = prior.join(fresh.select("id"), "id", "left_anti")
     return {"all": rest.unionByName(fresh), "newly_compared": fresh}
+
+
+def list_slices(changes: DataFrame, tracked: DataFrame, key: str, name: str) -> DataFrame:
+    """The changes of each list's records: a change is in every list that tracks its record."""
+    return changes.join(tracked.select(key, name).distinct(), key)
+
+
+def slice_counts(slices: DataFrame, key: str, name: str) -> DataFrame:
+    """How many records changed, and how often, per list."""
+    return slices.groupBy(name).agg(F.countDistinct(key).alias("records"), F.count("*").alias("changes"))
+
+
+def totals(rows: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """One row: how many rows there are, and how many of them each test holds for."""
+    return rows.agg(F.count("*").alias("total"), *[F.count_if(c).alias(n) for n, c in tests.items()])
+
+
+def sizes(dictionary: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One row: the rows of a dictionary and its distinct values by column."""
+    return dictionary.agg(F.count("*").alias("rows"), *[F.countDistinct(c).alias(n) for n, c in columns.items()])

@@ -78,3 +78,8 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def split_failures(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good rows, and (id, error) of the others; the latter replace the dead letters of the run before, also if there are none."""
     return rows.where("error is null").drop("error"), rows.where("error is not null").select("id", "error")
+
+
+def facts(table: DataFrame, ids: DataFrame, columns: list[str], id: str = "id") -> DataFrame:
+    """The wanted columns of a table's rows for a list of identifiers; only these columns are read."""
+    return table.join(ids.select(id).distinct(), id, "left_semi").select(*columns)
