@@ -29,6 +29,8 @@ _PLACE = 31  # bits of an anchor's place, below those of its hash
 _MASK = (1 << _PLACE) - 1
 #: Documents that are in order next to each other go to one partition, about so many, in at most so many blocks.
 BLOCK_ROWS, BLOCKS = 2048, 20_000
+#: A task gets about so many blocks at most.
+BLOCKS_A_TASK = 16
 
 
 def _ahead(a: str, by: int) -> Column:
@@ -123,8 +125,8 @@ def _blocked(rows: DataFrame) -> DataFrame:
     return rows.select(F.when(F.col("doc_id").isNull(), by_hash).otherwise(F.col("before") + inside).cast("long").alias("block"), "doc_id", "h", "text")
 
 
-def _with_next(rows: DataFrame, at: Scratch) -> DataFrame:
-    """Rows (block, mark, doc_id, h, text), with one more per block, of mark 1: the first text of the next block (after the last: of the first)."""
+def _with_next(rows: DataFrame, at: Scratch) -> tuple[DataFrame, int]:
+    """Rows (block, mark, doc_id, h, text), with one more per block, of mark 1: the first text of the next block (after the last: of the first); and the number of blocks."""
     least = rows.groupBy("block").agg(F.min(F.struct("doc_id", "h")).alias("first"))
     order = Window.orderBy("block")  # one row per block, of which there are at most 2 * BLOCKS
     least = least.withColumn("next", F.lead("block").over(order)).withColumn("next", F.coalesce("next", F.min("block").over(Window.partitionBy(F.lit(1)))))
@@ -133,7 +135,8 @@ def _with_next(rows: DataFrame, at: Scratch) -> DataFrame:
     same = (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k"))
     firsts = rows.join(F.broadcast(key), same).groupBy("block").agg(F.min("text").alias("text"))
     ends = least.select(F.col("block").alias("own"), "next").join(firsts, F.col("next") == F.col("block"))
-    return rows.select("block", F.lit(0).alias("mark"), "doc_id", "h", "text").union(ends.select("own", F.lit(1), F.lit(None).cast("long"), F.lit(None).cast("long"), "text"))
+    ends = ends.select("own", F.lit(1), F.lit(None).cast("long"), F.lit(None).cast("long"), "text")
+    return rows.select("block", F.lit(0).alias("mark"), "doc_id", "h", "text").union(ends), least.count()
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -148,7 +151,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     at = Scratch(docs.sparkSession, "fingerprints")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = _blocked(rows.select("doc_id", F.xxhash64("text").alias("h"), "text"))
-    rows = with_anchors(_with_next(rows, at).repartition("block"), "text", "anchors")
+    rows, blocks = _with_next(rows, at)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks // BLOCKS_A_TASK)
+    rows = with_anchors(rows.repartition(tasks, "block"), "text", "anchors")
     order = Window.partitionBy("block").orderBy("mark", F.col("doc_id").asc_nulls_first(), "h", "text")
     rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("next_anchors", F.lead("anchors").over(order)).where("mark = 0")
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
