@@ -88,16 +88,23 @@ def field_changes(pairs: DataFrame, versions: DataFrame, depth: int | None = Non
     paths = F.transform(labels, lambda m: F.try_element_at(known, m))
     chosen = F.filter(named, lambda x, i: F.array_position(paths, x["path"]) == i + 1)
     docs = lambda name: versions.select("id", F.col("version").alias(name), F.col("doc").alias(f"_{name}"))
-    both = pairs.select(*keys, chosen.alias("_chosen"))
-    both = both.join(docs("prev_version"), ["id", "prev_version"], "left").join(docs("curr_version"), ["id", "curr_version"], "left")
     cut = lambda c, m: F.try_variant_get(c, F.concat(F.lit("$."), m["path"]), "variant")
-    both = both.select(*keys, "_prev_version", "_curr_version", F.explode("_chosen").alias("_m"))
-    both = both.select(*keys, F.col("_m.module").alias("module"), cut("_prev_version", F.col("_m")).alias("_old"), cut("_curr_version", F.col("_m")).alias("_new"))
-    both = both.where(~F.to_json("_old").eqNullSafe(F.to_json("_new")))  # equal modules are not taken apart
-    sides = both.select(*keys, "module", F.explode(F.array(F.struct(F.lit(True).alias("old"), F.col("_old").alias("doc")), F.struct(F.lit(False).alias("old"), F.col("_new").alias("doc")))).alias("_s"))
-    sides = sides.select(*keys, "module", "_s.old", "_s.doc").where("doc is not null")
-    plain = compare(flatten(sides.where(F.col("module") != PLACES), "doc", depth), [*keys, "module"]).withColumnRenamed("path", "field")
-    return plain.unionByName(place_changes(sides.where(F.col("module") == PLACES).drop("module"), keys, depth).withColumn("module", F.lit(PLACES))).select(*keys, "module", "field", "old_value", "new_value")
+
+    def sides(some: DataFrame, modules: Column) -> DataFrame:
+        """Both documents of each of ``some`` pairs, cut to ``modules``; equal modules are not taken apart."""
+        both = some.select(*keys, modules.alias("_chosen"))
+        both = both.join(docs("prev_version"), ["id", "prev_version"], "left").join(docs("curr_version"), ["id", "curr_version"], "left")
+        both = both.select(*keys, "_prev_version", "_curr_version", F.explode("_chosen").alias("_m"))
+        both = both.select(*keys, F.col("_m.module").alias("module"), cut("_prev_version", F.col("_m")).alias("_old"), cut("_curr_version", F.col("_m")).alias("_new"))
+        both = both.where(~F.to_json("_old").eqNullSafe(F.to_json("_new")))
+        each = both.select(*keys, "module", F.explode(F.array(F.struct(F.lit(True).alias("old"), F.col("_old").alias("doc")), F.struct(F.lit(False).alias("old"), F.col("_new").alias("doc")))).alias("_s"))
+        return each.select(*keys, "module", "_s.old", "_s.doc").where("doc is not null")
+
+    # pairs that don't list places never meet a document for them
+    placed = sides(pairs.where(F.array_contains("module_labels", PLACES)), F.filter(chosen, lambda x: x["module"] == PLACES)).drop("module")
+    others = sides(pairs, F.filter(chosen, lambda x: x["module"] != PLACES))
+    plain = compare(flatten(others, "doc", depth), [*keys, "module"]).withColumnRenamed("path", "field")
+    return plain.unionByName(place_changes(placed, keys, depth).withColumn("module", F.lit(PLACES))).select(*keys, "module", "field", "old_value", "new_value")
 
 
 def place_changes(sides: DataFrame, keys: list[str], depth: int | None = None) -> DataFrame:
@@ -158,7 +165,7 @@ def render(changes: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "module", F.when(result, 0).otherwise(rank).alias("rank"), F.coalesce(F.when(outcome, number), F.lit(0)).alias("number"), F.when(result, "").otherwise(head).alias("head"),
         F.when(~result, F.struct(natural_key(field).alias("order"), line.alias("line"))).alias("line"), old.alias("added"), (~old & ~new).alias("changed"), new.alias("removed"),
     )
-    groups = rows.groupBy(*keys, "module", "rank", "number", "head").agg(
+    groups = rows.repartition(*[F.col(k) for k in keys]).groupBy(*keys, "module", "rank", "number", "head").agg(  # one shuffle for all three levels
         F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda s: s["line"]), "\n").alias("lines"),
         *[F.count_if(c).alias(c) for c in ("added", "changed", "removed")],
     )
