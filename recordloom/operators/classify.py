@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .normalize import small
+
 BUCKETS = ["new", "modified", "unmatched", "stale"]
 
 
@@ -15,14 +17,38 @@ def classify(records: DataFrame, pipelines: DataFrame, tracking: DataFrame, reje
     known (id, known_date). A tracked record is modified if its known date differs, else stale, also
     when no date is known; an untracked one is new if it matched, else unmatched. A null id has no bucket.
     """
-    every = records.where(F.col("id").isNotNull()).join(F.broadcast(pipelines), F.expr("true"))
+    every = records.where(F.col("id").isNotNull()).join(small(pipelines), F.expr("true"))
     every = every.join(rejected.select("id", "pipeline").distinct(), ["id", "pipeline"], "left_anti")
-    every = every.join(tracking.select("id", "pipeline", F.lit(True).alias("_tracked")).distinct(), ["id", "pipeline"], "left")
-    every = every.join(matched.select("id", "pipeline", F.lit(True).alias("_matched")).distinct(), ["id", "pipeline"], "left")
-    every = every.join(known.groupBy("id").agg(F.max("known_date").alias("_known")), "id", "left")
+    return _with_bucket(every.join(_named(tracking, matched), ["id", "pipeline"], "left"), known, records.columns)
+
+
+def touched(records: DataFrame, pipelines: DataFrame, tracking: DataFrame, rejected: DataFrame, matched: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``classify`` without the unmatched ones: no record meets a pipeline that neither tracks nor matches it."""
+    pairs = _named(tracking, matched).join(small(pipelines), "pipeline", "left_semi").join(rejected, ["id", "pipeline"], "left_anti")
+    return _with_bucket(records.join(pairs, "id"), known, records.columns)
+
+
+def counts(records: DataFrame, pipelines: DataFrame, tracking: DataFrame, rejected: DataFrame, matched: DataFrame, known: DataFrame) -> DataFrame:
+    """``bucket_counts`` of ``classify`` without its unmatched rows: they are all records less those rejected, tracked or matched."""
+    found = touched(records, pipelines, tracking, rejected, matched, known).groupBy("pipeline").pivot("bucket", ["new", "modified", "stale"]).count()
+    gone = records.select("id").join(rejected.select("id", "pipeline").distinct(), "id").groupBy("pipeline").agg(F.count("*").alias("_gone"))
+    each = pipelines.join(found, "pipeline", "left").join(gone, "pipeline", "left").na.fill(0, ["new", "modified", "stale", "_gone"])
+    each = each.join(F.broadcast(records.agg(F.count("id").alias("_all"))), F.expr("true")).where("_all > _gone")
+    return each.select("pipeline", "new", "modified", F.expr("_all - _gone - new - modified - stale").alias("unmatched"), "stale")
+
+
+def _named(tracking: DataFrame, matched: DataFrame) -> DataFrame:
+    """(id, pipeline, _tracked): each pair that is tracked or matched, once."""
+    both = tracking.select("id", "pipeline", F.lit(True).alias("_tracked")).unionByName(matched.select("id", "pipeline", F.lit(False).alias("_tracked")))
+    return both.groupBy("id", "pipeline").agg(F.max("_tracked").alias("_tracked"))
+
+
+def _with_bucket(rows: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows (``columns``, pipeline) with their bucket instead of ``_tracked``; where that is null, the pair is neither tracked nor matched."""
+    rows = rows.join(known.groupBy("id").agg(F.max("known_date").alias("_known")), "id", "left")
     tracked = F.when(F.col("_known").isNotNull() & ~F.col("_known").eqNullSafe(F.col("updated")), "modified").otherwise("stale")
-    bucket = F.when(F.col("_tracked"), tracked).when(F.col("_matched"), "new").otherwise("unmatched")
-    return every.withColumn("bucket", bucket).drop("_tracked", "_matched", "_known")
+    bucket = F.when(F.col("_tracked"), tracked).when(~F.col("_tracked"), "new").otherwise("unmatched")
+    return rows.select(*columns, "pipeline", bucket.alias("bucket"))
 
 
 def bucket_counts(classified: DataFrame) -> DataFrame:

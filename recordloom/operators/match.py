@@ -38,6 +38,19 @@ def between_alnum(c: Column) -> Column:
     return F.concat(F.lit("(?i)(?<![A-Za-z0-9])"), quoted(c), F.lit("(?![A-Za-z0-9])"))
 
 
+def runs(c: Column) -> Column:
+    """The runs of ASCII letters and digits of a text, in small letters, with repetitions and empty ones.
+
+    Runs are cut before they are lowered: some other letters have ASCII ones as their small letters.
+    """
+    return F.transform(F.split(c, r"[^A-Za-z0-9]+"), lambda w: F.lower(w))
+
+
+def first_run(c: Column) -> Column:
+    """The first run of a keyword, null if it has none. No pattern here lets an ASCII letter or digit touch it, so it is a whole run in a text that has the keyword."""
+    return F.try_element_at(F.filter(runs(c), lambda w: w != ""), F.lit(1))
+
+
 def haystack(*columns: str) -> Column:
     return F.concat_ws(" | ", *columns)
 
@@ -54,10 +67,7 @@ def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, patter
     if not many:
         found = texts.join(F.broadcast(keywords), F.expr("true")).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
         return found.drop("_text").distinct()
-    # No pattern lets an ASCII letter or digit touch a keyword's run of such, so the run is a whole one in the text too.
-    # Runs are cut before they are lowered: some other letters have ASCII ones as their small letters.
-    runs = lambda c: F.transform(F.split(c, r"[^A-Za-z0-9]+"), lambda w: F.lower(w))
-    lead = keywords.withColumn("_lead", F.try_element_at(F.filter(runs(F.col("term")), lambda w: w != ""), F.lit(1)))
+    lead = keywords.withColumn("_lead", first_run(F.col("term")))
     # Where keywords are too many to be broadcast, (row, run) pairs meet them without the texts, which follow by key.
     known, few = lead.where("_lead is not null"), lead.count() <= BROADCAST_ROWS
     words = texts.select(key, *(["_text"] if few else []), F.explode(F.array_distinct(runs(F.col("_text")))).alias("_lead"))

@@ -130,7 +130,7 @@ c AS (SELECT r.id, r.updated, p.pipeline,
   FROM r CROSS JOIN p JOIN documents t ON t.doc_id = r.id WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.id AND l.toxic = 1))"""
 
 
-def _classified(spark, d) -> DataFrame:
+def _classified(spark, d, how=classify.classify) -> DataFrame:
     docs, labels = read(spark, d, "documents"), read(spark, d, "labels")
     pipelines = docs.select(F.col("source").alias("pipeline")).where("pipeline is not null").distinct()
     records = docs.select(F.col("doc_id").alias("id"), F.col("n_chars").cast("string").alias("updated"))
@@ -138,7 +138,7 @@ def _classified(spark, d) -> DataFrame:
     tracking = every.where((F.col("quality") == 1) & ((F.col("id") + F.length("pipeline") + F.ascii(F.right("pipeline", F.lit(1)))) % 2 == 0))
     hits = docs.where(F.col("text").rlike("(^|[^A-Za-z0-9])password")).select(F.col("doc_id").alias("id")).crossJoin(F.broadcast(pipelines))
     known = docs.where("doc_id % 3 = 0").select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 2 == 0, "other").otherwise(F.col("n_chars").cast("string")).alias("known_date"))
-    return classify.classify(records, pipelines, tracking, every.where("toxic = 1"), hits, known)
+    return how(records, pipelines, tracking, every.where("toxic = 1"), hits, known)
 
 
 @query(f"{_CLASSIFY} SELECT * FROM c")
@@ -151,7 +151,7 @@ _COUNTS = "count(*) FILTER (bucket = 'new') AS new, count(*) FILTER (bucket = 'm
 
 @query(f"{_CLASSIFY} SELECT pipeline, {_COUNTS} FROM c GROUP BY pipeline")
 def bucket_counts(spark, d):
-    return classify.bucket_counts(_classified(spark, d))
+    return _classified(spark, d, classify.counts)
 
 
 @query(f"{_CLASSIFY} SELECT * FROM c")
@@ -170,7 +170,7 @@ SELECT 'new_candidates' AS item, new AS n FROM n UNION ALL SELECT 'unmatched', u
 def run_digest(spark, d):
     compared = read(spark, d, "orders").select((F.col("o_orderkey") % 7).alias("field_change_count"))
     moved = read(spark, d, "customer").where("c_custkey % 10 = 0")
-    return reports.digest(reports.run_row(classify.bucket_counts(_classified(spark, d)), compared, moved, F.lit("2024-01-30"), F.lit(0.0)))
+    return reports.digest(reports.run_row(_classified(spark, d, classify.counts), compared, moved, F.lit("2024-01-30"), F.lit(0.0)))
 
 
 @query("""SELECT n_name AS pipeline, (SELECT count(DISTINCT c_custkey) FROM customer WHERE c_nationkey = n_nationkey) AS tracked, (SELECT count(DISTINCT s_suppkey) FROM supplier WHERE s_nationkey = n_nationkey) AS rejected,

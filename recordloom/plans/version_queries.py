@@ -69,10 +69,11 @@ def gap_fill_chain(spark, d):
     return versions.gap_pairs(ix, cache)
 
 
-@query(f"WITH {_PAIRS} SELECT id, curr_version, prev_version FROM p WHERE curr_version = total_versions AND total_versions % 2 = 0")
+@query(f"WITH {_PAIRS} SELECT id, curr_version, prev_version FROM p WHERE curr_version = total_versions")
 def carry_forward(spark, d):
+    """Of all pairs compared before, those whose record has no newer version."""
     newest = versions.latest(index(spark, d), ["id"], ["version"])
-    prior = versions.latest_pair(index(spark, d)).select("id", "prev_version", "curr_version").where("curr_version % 2 = 0")
+    prior = _pairs(spark, d).select("id", "prev_version", "curr_version")
     return versions.unchanged(newest, prior).select("id", "curr_version", "prev_version")
 
 

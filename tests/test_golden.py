@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.functions import paths, scalars
-from recordloom.operators import concepts, diff, events, flatten, match, merge, normalize, versions
+from recordloom.operators import classify, concepts, diff, events, flatten, match, merge, normalize, versions
 
 
 def one(spark, column):
@@ -232,3 +232,26 @@ def test_routes_of_other_module_names_and_histories(spark):
     h = events.histories(events.events(found), ["id"], "curr_version")
     assert [tuple(r) for r in h["status"].collect()] == [("a", "OPEN", "CLOSED")] and [tuple(r) for r in h["phase"].collect()] == [("a", "P1", "P2")]
     assert [r["date_field"] for r in h["dates"].collect()] == ["start_date"] and [r["id"] for r in h["invalidated"].collect()] == ["a"]
+
+
+def test_a_large_dictionary_finds_what_a_small_one_finds(spark):
+    said = ["PD-L1 positive, egfr\tmutation", "no anti-PD-L1 test", "α-synuclein status high", "EGFRvIII amplified", "C++ (EGFR) mutated", "Kras mutated", "", "--"]
+    texts = spark.createDataFrame([(i, c, t) for i, t in enumerate(said) for c in ("GENE", "DISEASE")] + [(99, "GENE", None)], "id int, concept string, text string")
+    known = [("GENE", "PDL1", "PD-L1"), ("GENE", "EGFR", "EGFR;egfr mutation"), ("DISEASE", "SNCA", "α-synuclein"), ("DISEASE", "CPP", "c++"), ("GENE", "KRAS", "kras"), ("DISEASE", "DASH", "--")]
+    more = [("GENE", f"X{i}", f"absent {i}") for i in range(match.PREFILTER_FROM)]
+    schema = "id int, concept string, canonical_value string, variants string, confidence double, negation_support boolean"
+    table = lambda rows: spark.createDataFrame([(i, *r, 1.0, True) for i, r in enumerate(rows)], schema)
+    small, large = (sorted(map(tuple, concepts.occurrences(texts, concepts.variants(table(rows))).drop("ord").collect())) for rows in (known, known + more))
+    assert small == large and {r[2] for r in small} == {"PDL1", "EGFR", "SNCA", "CPP", "KRAS", "DASH"}
+
+
+def test_counts_are_those_of_whole_rows(spark):
+    records = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (None, "d")], "id int, updated string")
+    pipelines = spark.createDataFrame([("p",), ("q",), ("r",)], "pipeline string")
+    pair = lambda *rows: spark.createDataFrame(list(rows), "id int, pipeline string")
+    tracking, rejected, matched = pair((1, "p"), (1, "p"), (2, "q"), (9, "p"), (1, "other")), pair((3, "p"), (3, "p"), (1, "r"), (2, "r"), (3, "r"), (8, "q")), pair((1, "p"), (3, "p"), (3, "q"), (None, "p"))
+    known = spark.createDataFrame([(1, "a"), (2, "x")], "id int, known_date string")
+    args = (records, pipelines, tracking, rejected, matched, known)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(classify.counts(*args)) == rows(classify.bucket_counts(classify.classify(*args))) == [("p", 0, 0, 1, 2), ("q", 1, 1, 2, 0)]
+    assert rows(classify.touched(*args)) == rows(classify.classify(*args).where("bucket <> 'unmatched'"))
