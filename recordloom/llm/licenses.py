@@ -49,6 +49,8 @@ CLASSES = [*FAMILIES, "unknown", "none"]
 BITS = 16
 #: Documents of the sample whose sentences stand for ordinary text.
 FIT_DOCUMENTS = 1000
+#: Ordinary sentences are fitted in stretches of so many words, each word cut, and of so many characters in all: what the fit holds is bounded whatever the texts are.
+WINDOW_WORDS, WORD_CHARS, WINDOW_CHARS = 60, 40, 4_000_000
 #: Share of ordinary sentences that may pass for an unknown licence; the least probability for that is calibrated, and no less than ``UNKNOWN_LEAST``.
 UNKNOWN_SHARE, UNKNOWN_LEAST = 0.001, 0.9
 #: Words that a declaration of an unknown licence has at least; a word or two, without a template, tell nothing.
@@ -107,10 +109,28 @@ class Classifier:
         return z / z.sum(axis=1, keepdims=True)
 
 
+def windows(texts: list[str], rng: random.Random) -> list[str]:
+    """Stretches of at most ``WINDOW_WORDS`` words that cover the sentences of ``texts``, each once, shuffled, ``WINDOW_CHARS`` characters at most."""
+    found, held = [], 0
+    for t in rng.sample(texts, len(texts)):
+        for sentence in re.split(r"\n|[.!?] |[。！？]", t):
+            words = sentence.split()
+            for at in range(0, len(words), WINDOW_WORDS):
+                window = " ".join(w[:WORD_CHARS] for w in words[at : at + WINDOW_WORDS])
+                if "licen" not in window.lower():
+                    found.append(window)
+                    held += len(window)
+        if held > WINDOW_CHARS:
+            break
+    rng.shuffle(found)
+    sizes = np.cumsum([len(w) for w in found])
+    return found[: int(np.searchsorted(sizes, WINDOW_CHARS, side="right"))]
+
+
 def examples(texts: list[str], seed: int = 5) -> tuple[list[str], np.ndarray]:
     """Sentences and classes: variations of the templates, declarations of other licences, and sentences of ``texts``."""
     rng = random.Random(seed)
-    pool = [s for t in texts for s in t.replace("\n", ". ").split(". ") if s.strip() and "licen" not in s.lower()] or ["plain text"]
+    pool = windows(texts, rng) or ["plain text"]
     some = lambda: " ".join(rng.choice(pool).split()[: rng.randint(0, 3)]).strip(".!?,")
     made = ("Orchid", "Harbour", "Nimbus", "Quartz", "Falcon", "Meadow", "Copper", "Juniper", "Lantern", "Acme", "Contoso", "Zephyr")
     other = ("Licensed under the {} Public License, version {}", "Released under the {} License", "Use of this work is governed by the {} Commercial License {}", "Licensed under {} {}", "distributed under the terms of the {} Licence", "All rights reserved under the {} End User License Agreement")
@@ -122,7 +142,7 @@ def examples(texts: list[str], seed: int = 5) -> tuple[list[str], np.ndarray]:
                 rows.append((f"{some()} {' '.join(words)} {some()}", k))
         for form in other:
             rows.append((f"{some()} {form.format(rng.choice(made), rng.randint(1, 5))} {some()}", UNKNOWN))
-    rows += [(s, ORDINARY) for s in (rng.choice(pool) for _ in range(6 * len(rows)))]
+    rows += [(s, ORDINARY) for s in pool[: 6 * len(rows)]]
     rng.shuffle(rows)
     rows = [(re.sub(r"[.!?]+(?=\s)", "", " ".join(s.split())), k) for s, k in rows]
     rows = [(s, k) for s, k in rows if any(c.isalnum() for c in s)]

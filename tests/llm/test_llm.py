@@ -650,3 +650,16 @@ def test_pipeline(spark):
             assert name == "packing" or out.columns == df.columns
             assert out.count() >= 0 if df is docs_with else out.count() == 0
     assert [n for n, _ in c.STAGES] == ["quality classifier", "exact dedup", "n-gram Jaccard join", "mixing sources", "packing"]
+
+
+def test_fitting_licences_is_bounded_whatever_the_sentences_are(odd):
+    import resource
+    import time
+
+    long = [" ".join(f"w{i}" for i in range(30_000)), "。".join("漢字" * 40 for _ in range(5000)), "x" * 3_000_000]
+    windows = licenses.windows(long, licenses.random.Random(1))
+    assert max(len(w.split()) for w in windows) <= licenses.WINDOW_WORDS and sum(map(len, windows)) <= licenses.WINDOW_CHARS
+    assert len({w for w in windows if w.startswith("w")}) == 500
+    began, before = time.time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    licenses.train(long)
+    assert time.time() - began < 60 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
