@@ -106,7 +106,8 @@ def align(pair: Pair, texts: list[str]) -> dict[str, list]:
     n, docs = len(texts), np.arange(len(texts) + 1)
     cuts = np.searchsorted(own["doc"].to_numpy(), docs)
     own_pairs, own_times = own["pair"].to_numpy(), own["end_count"].to_numpy()
-    borders = np.unique(links["end"].to_numpy())
+    borders = np.sort(links["end"].to_numpy())
+    borders = borders[np.diff(borders, prepend=-1) > 0]
     return {
         "n_a": pc.list_value_length(a).cast(pa.int64()),
         "n_b": pc.list_value_length(b).cast(pa.int64()),
