@@ -37,9 +37,15 @@ def readable(path: Column) -> Column:
 
 
 def natural_key(path: Column) -> Column:
-    """A sort key by which embedded numbers count as numbers: x[2] before x[10]."""
+    """A sort key by which embedded numbers of any length count as numbers: x[2] before x[10]."""
     pieces = F.regexp_extract_all(F.lower(path), F.lit(r"(\d+|\D+)"), 1)
-    return F.transform(pieces, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, 20, "0")).otherwise(p))
+
+    def number(digits: Column) -> Column:
+        """The count of digits, then the digits: longer numbers are greater."""
+        bare = F.ltrim(digits, F.lit("0"))
+        return F.concat(F.lpad(F.length(bare).cast("string"), 10, "0"), bare)
+
+    return F.transform(pieces, lambda p: F.when(p.rlike(r"^\d"), number(p)).otherwise(p))
 
 
 def change_label(old: Column, new: Column) -> Column:

@@ -68,13 +68,44 @@ def sites(c: Column) -> Column:
     return F.array_distinct(F.filter(clean, lambda x: x.rlike("[A-Za-z]")))
 
 
+#: Countries whose places have a state. Fixed values.
+STATE_COUNTRIES = ("United States", "Canada", "Australia")
+
+
 def site_rows(rows: DataFrame, key: str, places: Column) -> DataFrame:
     """One row per place: site, city, state (in the US, Canada and Australia only), country, zip."""
     at = rows.select(key, F.explode(places).alias("p"))
-    state = F.when(F.col("p.country").isin("United States", "Canada", "Australia"), _filled(F.col("p.state")))
+    state = F.when(F.col("p.country").isin(*STATE_COUNTRIES), _filled(F.col("p.state")))
     return at.select(key, _filled(F.col("p.facility")).alias("site_name"), _filled(F.col("p.city")).alias("city"), state.alias("state"), _filled(F.col("p.country")).alias("country"), _filled(F.col("p.zip")).alias("zip"))
 
 
+def site_rows_of_text(rows: DataFrame, key: str, text: str, known: DataFrame) -> DataFrame:
+    """Site rows out of "Facility (City, State, Country, Zip) [STATUS] | …", the form of ``places_text``.
+
+    ``known`` has the names of countries in ``value``. The last bracket of a place, which may hold brackets itself, has its parts between
+    commas; the first of them that is a known country, without what it has in brackets, decides: the first part is the city, the part before
+    the country its state (in three countries), the part after it the zip. Places without brackets or without a known country give no row.
+    A facility loses a trailing "(Site 12)", and one of digits only is none. Parts meet the countries in a join, which Spark broadcasts
+    if they are few; a place is one row from splitting to the end, so a key with many places is no hot group. Repeated rows give their places each.
+    """
+    entry = F.trim(F.regexp_replace(F.trim(F.col("_entry")), r"\s*\[[^\]]+\]\s*$", ""))
+    flat, nested = r"^(.*?)\(([^)]+)\)\s*$", r"^(.*?)\(((?:[^()]|\([^()]*\))*)\)\s*$"
+    pattern = lambda group: F.when(entry.rlike(flat), F.regexp_extract(entry, flat, group)).when(entry.rlike(nested), F.regexp_extract(entry, nested, group))
+    facility = F.trim(F.regexp_replace(F.trim(pattern(1)), r"\s*\(\s*[Ss]ite\s+\d+\s*\)\s*$", ""))
+    at = rows.select(F.col(key).alias("_key"), F.posexplode(F.split(text, r" \| ")).alias("_n", "_entry"))
+    at = at.select("_key", "_n", F.when(~facility.rlike(r"^\d+$"), _filled(facility)).alias("_site"), F.transform(F.split(pattern(2), ","), lambda p: F.trim(p)).alias("_parts"))
+    at = at.where("_parts IS NOT NULL").groupBy("_key", "_n", "_site", "_parts").agg(F.count("*").alias("_times"))
+    part = at.select("*", F.posexplode("_parts").alias("_i", "_part")).withColumn("_country", F.trim(F.regexp_replace("_part", r"\s*\([^)]+\)", "")))
+    met = part.join(known.select(F.col("value").alias("_country")).distinct(), "_country")
+    first = met.groupBy("_key", "_n", "_site", "_parts", "_times").agg(F.min(F.struct("_i", "_country")).alias("_c"))
+    i, parts = F.col("_c._i"), F.col("_parts")
+    return first.select(
+        F.col("_key").alias(key), F.col("_site").alias("site_name"), F.when(i > 0, F.get(parts, F.lit(0))).alias("city"),
+        F.when(F.col("_c._country").isin(*STATE_COUNTRIES) & (i >= 2), F.get(parts, i - 1)).alias("state"), F.col("_c._country").alias("country"),
+        _filled(F.get(parts, i + 1)).alias("zip"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("_copy"),
+    ).drop("_copy")
+
+
 def known_values(rows: DataFrame, column: str, sep: str = r" \| ") -> DataFrame:
     """Distinct values of a delimited text column."""
     return rows.select(F.explode(F.split(column, sep)).alias("v")).select(F.trim("v").alias("value")).where("value <> ''").distinct()

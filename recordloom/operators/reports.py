@@ -11,9 +11,19 @@ def stacked(rows: DataFrame, key: str, order: str, line: Column, out: str = "lin
     return rows.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))), lambda s: s["l"]), "\n").alias(out))
 
 
-def wide_pairs(rows: DataFrame, key: str, pair: Column, value: str, names: list[str]) -> DataFrame:
-    """One row per key with a column per pair of versions; ``names`` are all pairs, sorted (a bounded set, as they become columns)."""
-    return rows.withColumn("_pair", pair).groupBy(key).pivot("_pair", names).agg(F.first(value))
+def wide_pairs(rows: DataFrame, key: str, pair: Column, value: str, out: str = "by_pair") -> DataFrame:
+    """One row per key with a map from each of its pairs of versions to the value.
+
+    The schema does not grow with the longest history, so the names of pairs are never gathered. Of rows that repeat a pair the one of
+    the smallest value counts, null last.
+    """
+    one = rows.groupBy(key, pair.alias("_pair")).agg(F.min(value).alias("_value"))
+    return one.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_pair", "_value")))).alias(out))
+
+
+def pair_columns(wide: DataFrame, key: str, names: list[str], column: str = "by_pair") -> DataFrame:
+    """A page of the wide report: a column for each of the named pairs, null where a key lacks it."""
+    return wide.select(key, *[F.col(column)[n].alias(n) for n in names])
 
 
 def note_counts(rows: DataFrame) -> DataFrame:

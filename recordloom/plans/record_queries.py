@@ -402,6 +402,26 @@ def explode_sites(spark, d):
     return flatten.site_rows(rows.select(F.col("s_suppkey").alias("id"), F.array(place).alias("places")), "id", F.col("places"))
 
 
+_COUNTRY = "CASE n_name WHEN 'UNITED STATES' THEN 'United States' WHEN 'CANADA' THEN 'Canada' ELSE n_name END"
+
+
+@query(f"""WITH s AS (SELECT s_suppkey AS id, s_name, CAST(s_suppkey AS VARCHAR) AS k, {_COUNTRY} AS country FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT id, s_name AS site_name, 'City ' || k AS city, CASE WHEN country IN ('United States', 'Canada') THEN 'State ' || k END AS state, country, NULL AS zip FROM s
+UNION ALL SELECT id, NULL, NULL, NULL, country, 'Z' || k FROM s
+UNION ALL SELECT id, 'Hospital ' || k, 'Town', NULL, country, NULL FROM s""")
+def sites_of_text(spark, d):
+    """Rendered places, read back: whole ones, one named by digits with a zip, one in no known country, one with brackets inside."""
+    n = read(spark, d, "nation").withColumn("country", F.expr(_COUNTRY))
+    s = read(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).withColumn("k", F.col("s_suppkey").cast("string"))
+    place = F.struct(F.col("s_name").alias("facility"), F.concat(F.lit("City "), "k").alias("city"), F.concat(F.lit("State "), "k").alias("state"), "country", F.lit("RECRUITING").alias("status"))
+    others = [
+        F.format_string("%s (%s, Z%s) [COMPLETED]", "k", "country", "k"), F.concat(F.lit("Lost "), "k", F.lit(" (Town, Nowhere)")),
+        F.format_string("Hospital %s ( Site 0014) (Town, %s (formerly known)) [WITHDRAWN]", "k", "country"),
+    ]
+    rows = s.select(F.col("s_suppkey").alias("id"), F.concat_ws(" | ", flatten.places_text(F.array(place)), *others).alias("locations"))
+    return flatten.site_rows_of_text(rows, "id", "locations", flatten.known_values(n, "country"))
+
+
 @query("SELECT DISTINCT trim(x) AS value FROM (SELECT unnest(string_split(p_brand || ' | ' || p_type || ' |  ', ' | ')) AS x FROM part) WHERE trim(x) <> ''")
 def known_values(spark, d):
     rows = read(spark, d, "part").select(F.concat(F.concat_ws(" | ", "p_brand", "p_type"), F.lit(" |  ")).alias("v"))

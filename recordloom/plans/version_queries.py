@@ -170,13 +170,16 @@ def facility_diff(spark, d):
     return diff.place_changes(sides.select("id", "old", F.parse_json(F.to_json(doc)).alias("doc")), ["id"], depth=3)
 
 
-@query(f"WITH {_PAIRS}, q AS (SELECT id, prev_version || '-' || curr_version AS pair, curr_status FROM p) PIVOT q ON pair USING max(curr_status) GROUP BY id")
+@query(f"WITH {_PAIRS} SELECT id, count(*) AS pairs, string_agg(prev_version || '-' || curr_version || '=' || coalesce(curr_status, ''), ', ' ORDER BY curr_version) AS by_pair, max(curr_status) FILTER (prev_version = 1) AS \"1-2\", max(curr_status) FILTER (prev_version = 2) AS \"2-3\" FROM p GROUP BY id")
 def wide_pair_report(spark, d):
-    """A column for every pair of versions that any record has; there are as many as versions of the longest history."""
+    """All pairs of a record in one map, shown as text in the order of versions, and a page of two columns out of it."""
     pair = F.concat_ws("-", F.col("prev_version").cast("string"), F.col("curr_version").cast("string"))
-    rows = _pairs(spark, d)
-    names = [r[0] for r in rows.select(pair.alias("pair"), "curr_version").distinct().orderBy("curr_version").collect()]
-    return reports.wide_pairs(rows, "id", pair, "curr_status", names)
+    wide = reports.wide_pairs(_pairs(spark, d), "id", pair, "curr_status")
+    page = reports.pair_columns(wide, "id", ["1-2", "2-3"])
+    number = lambda e: F.element_at(F.split(e["key"], "-"), 2).cast("long")
+    entries = F.array_sort(F.transform(F.map_entries("by_pair"), lambda e: F.struct(number(e).alias("n"), F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))).alias("text"))))
+    text = wide.select("id", F.size("by_pair").cast("long").alias("pairs"), F.array_join(F.transform(entries, lambda e: e["text"]), ", ").alias("by_pair"))
+    return text.join(page, "id")
 
 
 @query(f"WITH {_CHANGES}, m AS (SELECT id, arg_min(old_value, curr_version) AS old_value, arg_min(new_value, curr_version) AS new_value FROM c WHERE field = 'overallStatus' GROUP BY id) SELECT 'status' AS history, id, old_value, new_value FROM m UNION ALL SELECT DISTINCT 'invalidated', id, NULL, NULL FROM c")

@@ -255,3 +255,36 @@ def test_counts_are_those_of_whole_rows(spark):
     rows = lambda df: sorted(map(tuple, df.collect()))
     assert rows(classify.counts(*args)) == rows(classify.bucket_counts(classify.classify(*args))) == [("p", 0, 0, 1, 2), ("q", 1, 1, 2, 0)]
     assert rows(classify.touched(*args)) == rows(classify.classify(*args).where("bucket <> 'unmatched'"))
+
+
+def test_sites_of_odd_texts(spark):
+    texts = {
+        1: "A (Rome, Italy) [DONE] | 0042 (Boston, Massachusetts, United States, 02115) | No brackets | B ()",
+        2: "Clinic ( Site 7) (Ankara, Turkey (Türkiye)) [X] |  | C (Paris, Île-de-France, France, ) | (Italy)",
+        3: None, 4: "", 5: "D (Springfield, Italy, France)", 6: "E (Toronto, Ontario, Canada) | E (Toronto, Ontario, Canada)", 7: "F (x, Atlantis)",
+    }
+    known = spark.createDataFrame([(c,) for c in ("Italy", "United States", "Turkey", "France", "Canada", "Italy")], "value string")
+    rows = spark.createDataFrame([*texts.items(), (5, texts[5])], "id long, places string")
+    got = sorted((tuple(r) for r in flatten.site_rows_of_text(rows, "id", "places", known).collect()), key=repr)
+    twice = (5, "D", "Springfield", None, "Italy", "France")
+    canada = (6, "E", "Toronto", "Ontario", "Canada", None)
+    assert got == sorted([
+        (1, "A", "Rome", None, "Italy", None), (1, None, "Boston", "Massachusetts", "United States", "02115"), (2, "Clinic", "Ankara", None, "Turkey", None),
+        (2, "C", "Paris", None, "France", None), (2, None, None, None, "Italy", None), twice, twice, canada, canada,
+    ], key=repr)
+    assert flatten.site_rows_of_text(rows.limit(0), "id", "places", known).count() == 0
+
+
+def test_wide_pairs_as_a_map_and_a_page(spark):
+    from recordloom.operators import reports
+
+    rows = spark.createDataFrame([(1, "1-2", "a"), (1, "2-3", None), (1, "1-2", "b"), (2, "10-11", "c")], "id long, pair string, v string")
+    wide = reports.wide_pairs(rows, "id", F.col("pair"), "v")
+    assert {r["id"]: r["by_pair"] for r in wide.collect()} == {1: {"1-2": "a", "2-3": None}, 2: {"10-11": "c"}}
+    assert sorted(map(tuple, reports.pair_columns(wide, "id", ["1-2", "10-11"]).collect())) == [(1, "a", None), (2, None, "c")]
+
+
+def test_natural_order_of_long_numbers(spark):
+    names = ["x[2]", "x[10]", "x[99999999999999999999999]", "x[100000000000000000000000]"]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "p string")
+    assert [r["p"] for r in df.orderBy(paths.natural_key(F.col("p"))).collect()] == names
