@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, table
 
 #: Greatest mean sizes of a cell, rows of a block, and stretches of dimensions of an index.
-ROWS_A_CELL, ANCHORS_A_CELL, BLOCK, STRETCHES = 16384, 1024, 2048, 8
+ROWS_A_CELL, ANCHORS_A_CELL, BLOCK, STRETCHES = 4096, 1024, 2048, 8
 SCHEMA = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
 FOUND = "anchor_id long, slot int, other_id long, score long"
 
