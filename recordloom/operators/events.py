@@ -115,11 +115,15 @@ def events_of_text(rows: DataFrame, key: str, text: str) -> DataFrame:
 JOB_TYPES = ["TRIAL_MODIFIED", "NEW_TRIAL", "TRACKING_LIST_ADDED"]
 
 
+def priority_rank() -> Column:
+    """IMMEDIATE before NORMAL before all else."""
+    return F.when(F.col("priority") == "IMMEDIATE", 0).when(F.col("priority") == "NORMAL", 1).otherwise(2)
+
+
 def next_jobs(queue: DataFrame, limit: int, dept: str | None = None) -> DataFrame:
     """The pending jobs to do: by priority, then age, then id."""
-    rank = F.when(F.col("priority") == "IMMEDIATE", 0).when(F.col("priority") == "NORMAL", 1).otherwise(2)
     rows = queue.where("status = 'PENDING'")
-    return (rows if dept is None else rows.where(F.col("dept") == dept)).orderBy(rank, "created_at", "id").limit(limit)
+    return (rows if dept is None else rows.where(F.col("dept") == dept)).orderBy(priority_rank(), "created_at", "id").limit(limit)
 
 
 def finished(jobs: DataFrame, error: Column | None = None) -> DataFrame:

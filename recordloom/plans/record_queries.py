@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import paths, scalars
 from ..operators import classify, concepts, events, flatten, match, merge, normalize, redirects, reports, versions
 from ..sources import landing
-from .registry import query, read
+from ..streaming import increments
+from .registry import home_of, query, read
 
 _SPLIT = "1996-01-01"
 
@@ -358,6 +359,21 @@ def priority_queue(spark, d):
     return events.next_jobs(_queue(spark, d), 500).select("id", "priority")
 
 
+@query(f"WITH {_QUEUE} SELECT id, (row_number() OVER (ORDER BY CASE priority WHEN 'IMMEDIATE' THEN 0 WHEN 'NORMAL' THEN 1 ELSE 2 END, created_at, id) - 1) // 2000 AS turn FROM q JOIN orders ON o_orderkey = id WHERE status = 'PENDING' AND o_custkey % 2 = 0")
+def prioritized_stream(spark, d):
+    """The pending jobs of a department, drained from a stream by priority and age, 2000 a turn."""
+    home = home_of(spark, "prioritized")
+    dept = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("D"), F.col("o_custkey") % 2).alias("dept"))
+    jobs = _queue(spark, d).where("status = 'PENDING'").join(dept, "id").select("id", "dept", "priority", F.col("created_at").cast("timestamp").alias("created_at"))
+    jobs.write.parquet(f"{home}/in")
+    with increments.rocks(spark):
+        stream = increments.landings(spark, f"{home}/in", "id bigint, dept string, priority string, created_at timestamp")
+        turns = increments.prioritized(stream, f"{home}/queue", lambda jobs, n: jobs.write.mode("overwrite").parquet(f"{home}/out/turn={n}"), 2000, "D0")
+        turns.processAllAvailable()
+        turns.stop()
+    return spark.read.schema("id bigint, turn bigint").parquet(f"{home}/out").select("id", "turn")
+
+
 @query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'unknown job type: OTHER' WHEN o_orderkey % 7 = 0 THEN repeat('e', 1000) END AS error, CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 THEN 'FAILED' ELSE 'DONE' END AS status FROM orders""")
 def job_status(spark, d):
     jobs = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 5 == 0, "OTHER").otherwise("NEW_TRIAL").alias("job_type"))

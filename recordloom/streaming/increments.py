@@ -3,13 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..operators import events, versions
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PAIRS = "id string, prev_version long, curr_version long"
+PAIR_CHANGES = "id string, stretch long, op string, prev_version long, curr_version long"
+OFFERS = "lane int, rank int, created long, id long"
+NO_DATE = -(2**63)
+DAY = 86_400_000_000
+
+
+@contextmanager
+def rocks(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB; the session's own setting comes back after."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def landings(spark: SparkSession, path: str, schema: str, files: int | None = None) -> DataFrame:
@@ -54,3 +74,121 @@ class VersionChain(StatefulProcessor):
 def version_pairs(stream: DataFrame) -> DataFrame:
     """Pairs of consecutive versions of a stream (id, version), with the newest version of each id as state (RocksDB)."""
     return stream.groupBy("id").transformWithStateInPandas(VersionChain(), outputStructType=PAIRS, outputMode="append", timeMode="None")
+
+
+class RepairedChain(StatefulProcessor):
+    """Keeps the versions of one stretch of a key, in order; a version that comes late takes back the pair it falls into and gives two."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "versions array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        old = list(self.known.get()[0]) if self.known.exists() else []
+        new = sorted(set(old).union(*(map(int, batch["version"]) for batch in rows)))
+        if len(new) == len(old):
+            return
+        self.known.update((new,))
+        was, now = set(zip(old, old[1:])), set(zip(new, new[1:]))
+        found = [("-", *p) for p in sorted(was - now)] + [("+", *p) for p in sorted(now - was)] + [("ends", new[0], new[-1])]
+        yield pd.DataFrame([(*key, *f) for f in found], columns=["id", "stretch", "op", "prev_version", "curr_version"])
+
+    def close(self) -> None:
+        pass
+
+
+def pair_changes(stream: DataFrame, stretch: int = 1024) -> DataFrame:
+    """What new versions (id, version) in any order change about the pairs of consecutive versions.
+
+    ``+`` and ``-`` rows are pairs that begin and cease to stand, ``ends`` rows the least and greatest version of a
+    stretch of ``stretch`` version numbers. State is kept by (id, stretch), so that the versions of one id are never in
+    one task. Rows without id or version are left out, repeated ones change nothing.
+    """
+    rows = stream.where("id is not null and version is not null").select(F.col("id").cast("string").alias("id"), F.expr(f"cast(version as bigint) div {int(stretch)}").alias("stretch"), F.col("version").cast("long").alias("version"))
+    return rows.groupBy("id", "stretch").transformWithStateInPandas(RepairedChain(), outputStructType=PAIR_CHANGES, outputMode="append", timeMode="None")
+
+
+def standing_pairs(changes: DataFrame) -> DataFrame:
+    """The pairs that stand after all ``changes``, in whatever order and however often they come.
+
+    Versions are only ever added: a pair that was taken back never stands again, and the ends of a stretch only move
+    apart. Pairs across a border of stretches come from the ends, one row per stretch.
+    """
+    pairs = changes.where("op <> 'ends'").groupBy("id", "prev_version", "curr_version").agg(F.max(F.col("op") == "-").alias("_gone")).where("not _gone").drop("_gone")
+    ends = changes.where("op = 'ends'").groupBy("id", "stretch").agg(F.min("prev_version").alias("first"), F.max("curr_version").alias("last"))
+    borders = versions.pairs(ends, version="stretch", carry=("first", "last"))
+    return pairs.unionByName(borders.select("id", F.col("prev_last").alias("prev_version"), F.col("curr_first").alias("curr_version")))
+
+
+class PendingJobs(StatefulProcessor):
+    """The pending jobs of a lane by priority and day; offers the first ``limit`` of them whenever jobs come or were taken."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.jobs = handle.getMapState("jobs", "rank int, day bigint", "created array<bigint>, ids array<bigint>")
+        self.places = handle.getValueState("places", "ranks array<int>, days array<bigint>")
+
+    def held(self, place: tuple) -> set:
+        return set(zip(*self.jobs.getValue(place))) if self.jobs.containsKey(place) else set()
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        moved: dict[tuple, tuple[set, set]] = {}
+        for batch in rows:
+            for rank, created, id, taken in zip(*(batch[c].tolist() for c in ("rank", "created", "id", "taken"))):
+                moved.setdefault((rank, created // DAY), (set(), set()))[taken].add((created, id))
+        places = set(zip(*self.places.get())) if self.places.exists() else set()
+        for place, (came, taken) in moved.items():
+            jobs = sorted((self.held(place) - taken) | came)
+            if jobs:
+                self.jobs.updateValue(place, ([c for c, _ in jobs], [i for _, i in jobs]))
+                places.add(place)
+            elif place in places:
+                self.jobs.removeKey(place)
+                places.remove(place)
+        order = sorted(places)
+        self.places.update(([r for r, _ in order], [d for _, d in order]))
+        offer: list[tuple] = []
+        for rank, day in order:
+            if len(offer) >= self.limit:
+                break
+            offer += [(rank, created, id) for created, id in sorted(self.held((rank, day)))[: self.limit - len(offer)]]
+        yield pd.DataFrame([(*key, *job) for job in offer or [(None, None, None)]], columns=["lane", "rank", "created", "id"]).astype({"rank": "Int32", "created": "Int64", "id": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def prioritized(jobs: DataFrame, home: str, work: Callable[[DataFrame, int], None], limit: int, dept: str | None = None, lanes: int = 32) -> StreamingQuery:
+    """A queue on a stream of jobs (id, dept, priority, created_at): ``work`` gets at most ``limit`` pending jobs a turn,
+    those that ``events.next_jobs`` would take, until none is left.
+
+    Jobs wait in keyed state, dealt to ``lanes`` by id. A lane that changed offers its first ``limit`` jobs; the first
+    ``limit`` of all offers are worked on and then come back to their lanes as taken, through a stream of files. So a
+    turn costs the offers, at most ``lanes * limit`` rows, not the queue. ``work`` may see a turn again after a failure
+    and must be idempotent. Jobs without id are left out; one that lands twice while it waits is one job.
+    """
+    spark = jobs.sparkSession
+    spark.createDataFrame([], OFFERS).write.mode("ignore").parquet(f"{home}/taken/start")
+    spark.createDataFrame([], OFFERS).write.mode("ignore").parquet(f"{home}/offers/1")
+    rows = jobs.where("id is not null") if dept is None else jobs.where("id is not null").where(F.col("dept") == dept)
+    lane = F.pmod(F.hash("id"), F.lit(lanes)).alias("lane")
+    rows = rows.withColumn("id", F.col("id").cast("long")).select(lane, events.priority_rank().alias("rank"), F.coalesce(F.unix_micros("created_at"), F.lit(NO_DATE)).alias("created"), "id", F.lit(False).alias("taken"))
+    back = spark.readStream.schema(OFFERS).parquet(f"{home}/taken/*").withColumn("taken", F.lit(True))
+    offers = rows.unionByName(back).groupBy("lane").transformWithStateInPandas(PendingJobs(limit), outputStructType=OFFERS, outputMode="append", timeMode="None")
+
+    def written(df: DataFrame, path: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(OFFERS).parquet(path)
+
+    def turn(batch: DataFrame, n: int) -> None:  # two folders in turn: a turn reads what the one before it left
+        came = written(batch, f"{home}/came")
+        stay = spark.read.schema(OFFERS).parquet(f"{home}/offers/{(n + 1) % 2}").join(came.select("lane").distinct(), "lane", "left_anti")
+        open = stay.unionByName(came.where("id is not null"))
+        now = written(open.orderBy("rank", "created", "id").limit(limit), f"{home}/now")
+        written(open.join(now.select("lane", "id"), ["lane", "id"], "left_anti").select(*open.columns), f"{home}/offers/{n % 2}")
+        if not now.isEmpty():
+            work(now.select("id", "rank", F.timestamp_micros(F.expr(f"nullif(created, {NO_DATE + 1} - 1)")).alias("created_at")), n)
+            written(now, f"{home}/taken/{n}")
+
+    return offers.writeStream.option("checkpointLocation", f"{home}/checkpoint").outputMode("append").foreachBatch(turn).start()
