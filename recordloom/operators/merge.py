@@ -33,6 +33,53 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], preserve: list[
     return both.select(*[F.col(c) if c in keys else value(c) for c in target.columns])
 
 
+def with_actions(target: DataFrame, batch: DataFrame, keys: list[str], preserve: list[str] = (), update: list[str] | None = None) -> DataFrame:
+    """The table after ``upsert``, with what became of each row as ``action``.
+
+    ``inserted`` and ``updated`` rows changed the table; ``unchanged`` ones are in the batch and say what the table
+    says; ``kept`` ones are not in the batch. Null is a value like others, and equal to null.
+    """
+    fresh = [c for c in target.columns if c not in keys and c not in preserve and (update is None or c in update)]
+    theirs = batch.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_s"), F.lit(True).alias("_new"))
+    both = target.withColumn("_old", F.lit(True)).join(theirs, keys, "full_outer")
+    same = F.lit(True)
+    for c in fresh:
+        same = same & F.col(c).eqNullSafe(F.col("_s")[c])
+    action = F.when(F.col("_new").isNull(), "kept").when(F.col("_old").isNull(), "inserted").when(same, "unchanged").otherwise("updated")
+    take = lambda c: F.col("_new") & (F.lit(True) if c in fresh else F.col("_old").isNull())
+    return both.select(*[F.col(c) if c in keys else F.when(take(c), F.col("_s")[c]).otherwise(F.col(c)).alias(c) for c in target.columns], action.alias("action"))
+
+
+def write_bucketed(rows: DataFrame, path: str, keys: list[str], buckets: int, files: int = 1, dynamic: bool = False) -> None:
+    """A keyed table as Parquet in ``buckets`` folders by hashed key, each of about ``files`` files."""
+    part = F.pmod(F.hash(F.lit("file"), *keys), F.lit(files))
+    dealt = rows.withColumn("bucket", F.pmod(F.hash(*keys), F.lit(buckets))).repartition("bucket", part)
+    mode = dealt.write.partitionBy("bucket").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+    mode.mode("overwrite" if dynamic else "errorifexists").parquet(path)
+
+
+def merge_into(batch: DataFrame, path: str, staging: str, keys: list[str], buckets: int, files: int = 1, preserve: list[str] = (), update: list[str] | None = None) -> DataFrame:
+    """Upsert a batch with one row per key into a table of ``write_bucketed``, of as many ``buckets``; one row of counts: n_inserted, n_updated, n_unchanged.
+
+    Only the buckets that the batch's keys fall into are read, and only those in which a row changed are written. The
+    rows go to ``staging`` first, a new folder, as a table can't be overwritten while it is read. A merge that broke off
+    is mended by the same batch again, which inserts and updates what is not yet there.
+    """
+    spark = batch.sparkSession
+    table = spark.read.parquet(path)
+    kinds = {f.name: f.dataType for f in table.schema.fields if f.name != "bucket"}
+    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+    batch = batch.select(*[F.col(c).cast(t).alias(c) for c, t in kinds.items()])  # hashes go by type
+    met = [r[0] for r in batch.select(bucket).distinct().collect()]  # numbers of buckets, at most ``buckets``
+    after = with_actions(table.where(F.col("bucket").isin(met)), batch.withColumn("bucket", bucket), ["bucket", *keys], preserve, update)
+    after.write.partitionBy("bucket", "action").mode("errorifexists").parquet(staging)
+    staged = spark.read.schema(after.schema).parquet(staging)
+    changed = [r[0] for r in staged.where("action in ('inserted', 'updated')").select("bucket").distinct().collect()]
+    if changed:
+        write_bucketed(staged.where(F.col("bucket").isin(changed)).select(*kinds), path, keys, buckets, files, dynamic=True)
+    return staged.agg(*[F.count_if(F.col("action") == a).alias(f"n_{a}") for a in ("inserted", "updated", "unchanged")])
+
+
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of the batch to append: those whose key the target doesn't have, one per key."""
     return batch.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti").select(*target.columns)

@@ -159,3 +159,33 @@ def concept_columns(spark, d):
     said = part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "a gold ring").otherwise("no ring").alias("metal"), F.when(F.col("p_size") % 3 == 0, "round").otherwise("").alias("shape"))
     words = spark.createDataFrame([("1", "METAL", "GOLD", "gold; golden", 1.0, True), ("2", "SHAPE", "ROUND", "round", 1.0, False)], "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean")
     return concepts.extraction(said, said.select("id"), words, {"METAL": ["metal"], "SHAPE": ["shape"]})
+
+
+_SEEN = """now AS (SELECT c_custkey AS id, 'Pending' AS decision, CASE WHEN c_custkey % 2 = 0 THEN '1996' WHEN c_custkey % 5 > 0 THEN '1997' END AS last_seen FROM customer WHERE c_nationkey < 12),
+old AS (SELECT c_custkey AS id, 'Approved' AS decision, CASE WHEN c_custkey % 7 > 0 THEN '1996' END AS last_seen FROM customer WHERE c_custkey % 3 > 0)"""
+
+
+def _seen(spark, d):
+    """A log of decisions and a batch of sightings."""
+    c, id = read(spark, d, "customer"), F.col("c_custkey")
+    now = c.where("c_nationkey < 12").select(id.alias("id"), F.lit("Pending").alias("decision"), F.when(id % 2 == 0, "1996").when(id % 5 > 0, "1997").alias("last_seen"))
+    old = c.where("c_custkey % 3 > 0").select(id.alias("id"), F.lit("Approved").alias("decision"), F.when(id % 7 > 0, "1996").alias("last_seen"))
+    return old, now
+
+
+@query(f"""WITH {_SEEN} SELECT coalesce(old.id, now.id) AS id, coalesce(old.decision, now.decision) AS decision, CASE WHEN now.id IS NULL THEN old.last_seen ELSE now.last_seen END AS last_seen,
+CASE WHEN now.id IS NULL THEN 'kept' WHEN old.id IS NULL THEN 'inserted' WHEN old.last_seen IS NOT DISTINCT FROM now.last_seen THEN 'unchanged' ELSE 'updated' END AS action FROM old FULL JOIN now ON old.id = now.id""")
+def merge_actions(spark, d):
+    """A merge that says of every row what became of it; known rows keep their decision."""
+    return merge.with_actions(*_seen(spark, d), ["id"], preserve=["decision"])
+
+
+@query(f"""WITH {_SEEN}, j AS (SELECT old.id AS o, now.id AS n, old.last_seen IS NOT DISTINCT FROM now.last_seen AS same, CASE WHEN now.id IS NULL THEN old.last_seen ELSE now.last_seen END AS seen FROM old FULL JOIN now ON old.id = now.id)
+SELECT count(*) FILTER (o IS NULL) AS n_inserted, count(*) FILTER (o IS NOT NULL AND n IS NOT NULL AND NOT same) AS n_updated, count(*) FILTER (o IS NOT NULL AND n IS NOT NULL AND same) AS n_unchanged, count(*) AS n_rows, count(*) FILTER (seen = '1997') AS n_later FROM j""")
+def merged_in_place(spark, d):
+    """The merge written into a table by buckets; new and repeated rows are counted by the merge itself."""
+    home, (old, now) = home_of(spark, "merged"), _seen(spark, d)
+    merge.write_bucketed(old, f"{home}/table", ["id"], 16)
+    counts = merge.merge_into(now, f"{home}/table", f"{home}/staging", ["id"], 16, preserve=["decision"])
+    table = spark.read.parquet(f"{home}/table").agg(F.count("*").alias("n_rows"), F.count_if(F.col("last_seen") == "1997").alias("n_later"))
+    return counts.join(table, F.expr("true"))  # one row each

@@ -47,3 +47,18 @@ def test_csv_sink_does_not_overwrite(spark, tmp_path):
 def test_merged_table_goes_to_a_new_path(spark, tmp_path):
     merge.overwrite(spark.range(2), str(tmp_path / "v1"))
     assert spark.read.parquet(str(tmp_path / "v1")).count() == 2
+
+
+def test_merge_writes_only_buckets_that_change(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").glob("bucket=*/*.parquet")}
+    counts = lambda rows, n: tuple(merge.merge_into(spark.createDataFrame(rows, "id int, v string"), path, str(tmp_path / f"s{n}"), ["id"], 8).first())
+    merge.write_bucketed(spark.createDataFrame([(i, "a" if i % 2 else None) for i in range(100)], "id long, v string"), path, ["id"], 8)
+    before = files()
+    assert len(before) == 8
+    assert counts([(1, "a"), (2, None)], 0) == (0, 0, 2) and files() == before
+    assert counts([(1, "b"), (2, None)], 1) == (0, 1, 1)
+    assert len(before.keys() - files().keys()) == 1  # one bucket is new, seven have their files
+    assert counts([(1, "b"), (500, None)], 2) == (1, 0, 1) and counts([], 3) == (0, 0, 0)
+    rows = {r["id"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert len(rows) == 101 and rows[1] == "b" and rows[3] == "a" and rows[500] is None
