@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.normalize import small
+
 MODULES = {
     "protocolSection": ("identificationModule", "statusModule", "sponsorCollaboratorsModule", "oversightModule", "descriptionModule", "conditionsModule", "designModule", "armsInterventionsModule", "outcomesModule", "eligibilityModule", "contactsLocationsModule", "ipdSharingStatementModule", "referencesModule"),
     "derivedSection": ("conditionBrowseModule", "interventionBrowseModule", "miscInfoModule"),
@@ -24,6 +26,21 @@ def delta(records: DataFrame, updated: str, first: dt.date, last: dt.date) -> Da
     return records.where(F.col(updated).between(F.lit(first), F.lit(last)))
 
 
+def due_pipelines(records: DataFrame, updated: str, state: DataFrame, today: dt.date, back: int = 10) -> DataFrame:
+    """Records that any pipeline has still to see, with these pipelines in order as ``pipelines``.
+
+    state (pipeline, last_run_date): each pipeline's range is that of ``date_range``, its newest mark counts; null stands
+    for one that never ran. The scan gets the smallest mark of all as a literal. Days meet the pipelines due on them in a
+    table of one row per day, so a record stays one row, however many pipelines there are.
+    """
+    marks = state.where("pipeline is not null").groupBy("pipeline").agg(F.coalesce(F.max(F.to_date("last_run_date")), F.date_sub(F.lit(today), back)).alias("from_date")).where(F.col("from_date") <= F.lit(today))
+    first = marks.agg(F.min("from_date")).first()[0]
+    days = marks.select("pipeline", F.explode(F.sequence("from_date", F.lit(today))).alias("_day")).groupBy("_day").agg(F.array_sort(F.collect_list("pipeline")).alias("pipelines"))
+    end = today + dt.timedelta(days=1)  # a time on the last day belongs to it
+    scanned = records.where("false") if first is None else records.where((F.col(updated) >= F.lit(first)) & (F.col(updated) < F.lit(end)))
+    return scanned.join(small(days), F.to_date(updated) == F.col("_day")).drop("_day")
+
+
 def raw_modules(records: DataFrame, id: str, doc: str) -> DataFrame:
     """id, official title and one column of JSON text per module of a VARIANT document."""
     get = lambda s, m: F.to_json(F.try_variant_get(doc, F.lit(f"$.{s}.{m}"), "variant")).alias(f"raw_{m}")
