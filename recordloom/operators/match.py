@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +41,33 @@ def between_alnum(c: Column) -> Column:
     return F.concat(F.lit("(?i)(?<![A-Za-z0-9])"), quoted(c), F.lit("(?![A-Za-z0-9])"))
 
 
+def folded(terms: list[str]) -> str:
+    """A pattern for any of some texts, common beginnings written once."""
+    groups: dict[str, list[str]] = {}
+    for t in sorted(set(terms)):
+        groups.setdefault(t[:1], []).append(t)
+    parts = []
+    for group in groups.values():
+        head = os.path.commonprefix(group)
+        rests = [t[len(head) :] for t in group]
+        parts.append(re.escape(head) + (folded(rests) if any(rests) else ""))
+    return "(?:" + "|".join(parts) + ")"
+
+
+def any_term(terms: list[str], pattern) -> str:
+    """One pattern, compiled once, for the texts in which ``pattern`` finds any of the terms."""
+    firsts = "" if "" in terms else f"(?=[{''.join(re.escape(c) for c in sorted({t[0] for t in terms}))}])"  # few places pass this first
+    if pattern is whole_word:
+        return rf"(?i){firsts}\b{folded(terms)}\b"
+    return rf"(?i){firsts}(?<![A-Za-z0-9]){folded(terms)}(?![A-Za-z0-9])"
+
+
+def few_terms(keywords: DataFrame) -> list[str] | None:
+    """The terms of a keyword table of at most PREFILTER_FROM rows, else None."""
+    found = keywords.select("term").limit(PREFILTER_FROM + 1).collect()
+    return [r[0] for r in found if r[0] is not None] if len(found) <= PREFILTER_FROM else None
+
+
 def runs(c: Column) -> Column:
     """The runs of ASCII letters and digits of a text, in small letters, with repetitions and empty ones.
 
@@ -58,13 +88,16 @@ def haystack(*columns: str) -> Column:
 def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, pattern=whole_word) -> DataFrame:
     """Distinct (key, keyword columns…) where ``text`` has the keyword ``term``.
 
-    Few keywords are compared with every row (they are broadcast). Many are first joined by their first run of ASCII
+    Few keywords are compared with the rows that have any of them, which one pattern for all tells if ``pattern`` is
+    ``whole_word`` or ``between_alnum``. Many are first joined by their first run of ASCII
     letters and digits with the runs of the rows, so only rows that have that run are searched; keywords that have
     none are compared with every row.
     """
     texts = rows.select(F.col(key), text.alias("_text"))
-    many = keywords.limit(PREFILTER_FROM + 1).count() > PREFILTER_FROM
-    if not many:
+    terms = few_terms(keywords)
+    if terms is not None:
+        if pattern in (whole_word, between_alnum):
+            texts = texts.where(F.rlike("_text", F.lit(any_term(terms, pattern))) if terms else F.lit(False))
         found = texts.join(F.broadcast(keywords), F.expr("true")).where(F.rlike(F.col("_text"), pattern(F.col("term"))))
         return found.drop("_text").distinct()
     lead = keywords.withColumn("_lead", first_run(F.col("term")))
@@ -80,10 +113,10 @@ def matches(rows: DataFrame, key: str, text: Column, keywords: DataFrame, patter
 
 def having_keyword(rows: DataFrame, key: str, text: Column, keywords: DataFrame) -> DataFrame:
     """The rows whose text has any keyword as a whole word; many keywords are first joined by word, as in ``matches``."""
-    terms = keywords.select("term").distinct()
-    if terms.limit(PREFILTER_FROM + 1).count() > PREFILTER_FROM:
-        return rows.join(matches(rows, key, text, terms).select(key).distinct(), key, "left_semi")
-    return rows.withColumn("_text", text).join(F.broadcast(terms), F.rlike(F.col("_text"), whole_word(F.col("term"))), "left_semi").drop("_text")
+    terms = few_terms(keywords.select("term").distinct())
+    if terms is None:
+        return rows.join(matches(rows, key, text, keywords.select("term").distinct()).select(key).distinct(), key, "left_semi")
+    return rows.where(F.rlike(text, F.lit(any_term(terms, whole_word))) if terms else F.lit(False))
 
 
 def tagged(rows: DataFrame, key: str, text: Column, terms: DataFrame, out: str = "tags") -> DataFrame:

@@ -35,3 +35,16 @@ def test_sections_are_whole(spark):
     rows = spark.createDataFrame([("s", "x" * 9000), (None, "y"), ("s", None), (None, "")], "source string, text string")
     got = [r[0] for r in rows.select(scalars.labelled_sections({"source": F.col("source"), "text": F.col("text")})).collect()]
     assert got == ["[source] s\n\n[text] " + "x" * 9000, "[text] y", "[source] s", ""]
+
+
+def test_one_pattern_finds_what_single_ones_find(spark):
+    terms = ["", "a", "ab", "abc", "a.c", "c++", "(x", "né", "né de", "a|b", "[z]", "\\E", "x\ny", "许可", "#1", "a b"]
+    texts = ["xx ab yy", "A.C", "abcd", "c++", "-(X-", "NÉ", "né de", "aa|b", "a|b", "[z]", "q \\E q", "x\ny", "#12", "#1", "", "许可证", "A  B", "a b", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for pattern in (match.between_alnum, match.whole_word):
+        for some in (terms, terms[1:], ["c++"], []):
+            words = spark.createDataFrame([(t,) for t in [*some, None]], "term string")
+            single = {tuple(r) for r in rows.crossJoin(words).where(F.rlike("text", pattern(F.col("term")))).select("id", "term").collect()}
+            assert {tuple(r) for r in match.matches(rows, "id", F.col("text"), words, pattern).collect()} == single
+            if pattern is match.whole_word:
+                assert {r["id"] for r in match.having_keyword(rows, "id", F.col("text"), words).collect()} == {i for i, _ in single}
