@@ -361,14 +361,14 @@ def priority_queue(spark, d):
 
 @query(f"WITH {_QUEUE} SELECT id, (row_number() OVER (ORDER BY CASE priority WHEN 'IMMEDIATE' THEN 0 WHEN 'NORMAL' THEN 1 ELSE 2 END, created_at, id) - 1) // 2000 AS turn FROM q JOIN orders ON o_orderkey = id WHERE status = 'PENDING' AND o_custkey % 2 = 0")
 def prioritized_stream(spark, d):
-    """The pending jobs of a department, drained from a stream by priority and age, 2000 a turn."""
+    """The pending jobs of a department, drained from a stream by priority and age, 2000 a turn, up to 500 turns a batch."""
     home = home_of(spark, "prioritized")
     dept = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("D"), F.col("o_custkey") % 2).alias("dept"))
     jobs = _queue(spark, d).where("status = 'PENDING'").join(dept, "id").select("id", "dept", "priority", F.col("created_at").cast("timestamp").alias("created_at"))
     jobs.write.parquet(f"{home}/in")
     with increments.rocks(spark):
         stream = increments.landings(spark, f"{home}/in", "id bigint, dept string, priority string, created_at timestamp")
-        turns = increments.prioritized(stream, f"{home}/queue", lambda jobs, n: jobs.write.mode("overwrite").parquet(f"{home}/out/turn={n}"), 2000, "D0")
+        turns = increments.prioritized(stream, f"{home}/queue", lambda jobs, n: jobs.write.mode("overwrite").parquet(f"{home}/out/batch={n}"), 2000, "D0", turns=500)
         turns.processAllAvailable()
         turns.stop()
     return spark.read.schema("id bigint, turn bigint").parquet(f"{home}/out").select("id", "turn")

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -130,7 +130,8 @@ class PendingJobs(StatefulProcessor):
         self.places = handle.getValueState("places", "ranks array<int>, days array<bigint>")
 
     def held(self, place: tuple) -> set:
-        return set(zip(*self.jobs.getValue(place))) if self.jobs.containsKey(place) else set()
+        jobs = self.jobs.getValue(place)
+        return set(zip(*jobs)) if jobs else set()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         moved: dict[tuple, tuple[set, set]] = {}
@@ -138,11 +139,13 @@ class PendingJobs(StatefulProcessor):
             for rank, created, id, taken in zip(*(batch[c].tolist() for c in ("rank", "created", "id", "taken"))):
                 moved.setdefault((rank, created // DAY), (set(), set()))[taken].add((created, id))
         places = set(zip(*self.places.get())) if self.places.exists() else set()
+        known: dict[tuple, list] = {}  # a place is read from the state once
         for place, (came, taken) in moved.items():
-            jobs = sorted((self.held(place) - taken) | came)
+            jobs = sorted((self.held(place) - taken) | came) if place in places else sorted(came)
             if jobs:
                 self.jobs.updateValue(place, ([c for c, _ in jobs], [i for _, i in jobs]))
                 places.add(place)
+                known[place] = jobs
             elif place in places:
                 self.jobs.removeKey(place)
                 places.remove(place)
@@ -152,43 +155,62 @@ class PendingJobs(StatefulProcessor):
         for rank, day in order:
             if len(offer) >= self.limit:
                 break
-            offer += [(rank, created, id) for created, id in sorted(self.held((rank, day)))[: self.limit - len(offer)]]
+            jobs = known[rank, day] if (rank, day) in known else sorted(self.held((rank, day)))
+            offer += [(rank, created, id) for created, id in jobs[: self.limit - len(offer)]]
         yield pd.DataFrame([(*key, *job) for job in offer or [(None, None, None)]], columns=["lane", "rank", "created", "id"]).astype({"rank": "Int32", "created": "Int64", "id": "Int64"})
 
     def close(self) -> None:
         pass
 
 
-def prioritized(jobs: DataFrame, home: str, work: Callable[[DataFrame, int], None], limit: int, dept: str | None = None, lanes: int = 32) -> StreamingQuery:
+def in_order(rows: DataFrame, order: list[str], path: str) -> DataFrame:
+    """``rows`` with their place in ``order``, from 0, as ``number``: tasks sort stretches of them, each begins where the one before it ends. ``path`` holds them meanwhile."""
+    spark = rows.sparkSession
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    found = spark.read.schema(f"{OFFERS}, _at long").parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    sizes = found.groupBy("_part").agg(F.count("*").alias("_n"))
+    starts = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_start"))  # one row per task
+    number = F.col("_start") + F.col("_at") - F.shiftleft("_part", 33)
+    return found.join(F.broadcast(starts), "_part").select(*rows.columns, number.alias("number"))
+
+
+def prioritized(jobs: DataFrame, home: str, work: Callable[[DataFrame, int], None], limit: int, dept: str | None = None, lanes: int = 32, turns: int = 1) -> StreamingQuery:
     """A queue on a stream of jobs (id, dept, priority, created_at): ``work`` gets at most ``limit`` pending jobs a turn,
     those that ``events.next_jobs`` would take, until none is left.
 
-    Jobs wait in keyed state, dealt to ``lanes`` by id. A lane that changed offers its first ``limit`` jobs; the first
-    ``limit`` of all offers are worked on and then come back to their lanes as taken, through a stream of files. So a
-    turn costs the offers, at most ``lanes * limit`` rows, not the queue. ``work`` may see a turn again after a failure
-    and must be idempotent. Jobs without id are left out; one that lands twice while it waits is one job.
+    Jobs wait in keyed state, dealt to ``lanes`` by id. A lane that changed offers its first jobs; the first of all
+    offers are worked on and then come back to their lanes as taken, through a stream of files. A batch of the stream
+    does up to ``turns`` turns: ``work`` gets their jobs at once, with the number of each one's turn (from 0), and what lands
+    meanwhile waits for the next batch. So a batch costs the offers, at most ``lanes * limit * turns`` rows, not the
+    queue, and a long queue costs few batches. ``work`` may see a batch again after a failure and must be idempotent.
+    Jobs without id are left out; one that lands twice while it waits is one job.
     """
     spark = jobs.sparkSession
     spark.createDataFrame([], OFFERS).write.mode("ignore").parquet(f"{home}/taken/start")
     spark.createDataFrame([], OFFERS).write.mode("ignore").parquet(f"{home}/offers/1")
+    spark.createDataFrame([(0,)], "done long").write.mode("ignore").parquet(f"{home}/turns/1")
     rows = jobs.where("id is not null") if dept is None else jobs.where("id is not null").where(F.col("dept") == dept)
     lane = F.pmod(F.hash("id"), F.lit(lanes)).alias("lane")
     rows = rows.withColumn("id", F.col("id").cast("long")).select(lane, events.priority_rank().alias("rank"), F.coalesce(F.unix_micros("created_at"), F.lit(NO_DATE)).alias("created"), "id", F.lit(False).alias("taken"))
     back = spark.readStream.schema(OFFERS).parquet(f"{home}/taken/*").withColumn("taken", F.lit(True))
-    offers = rows.unionByName(back).groupBy("lane").transformWithStateInPandas(PendingJobs(limit), outputStructType=OFFERS, outputMode="append", timeMode="None")
+    most = limit * turns
+    offers = rows.unionByName(back).groupBy("lane").transformWithStateInPandas(PendingJobs(most), outputStructType=OFFERS, outputMode="append", timeMode="None")
 
     def written(df: DataFrame, path: str) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(OFFERS).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    def turn(batch: DataFrame, n: int) -> None:  # two folders in turn: a turn reads what the one before it left
+    def turn(batch: DataFrame, n: int) -> None:  # two folders in turn: a batch reads what the one before it left
         came = written(batch, f"{home}/came")
         stay = spark.read.schema(OFFERS).parquet(f"{home}/offers/{(n + 1) % 2}").join(came.select("lane").distinct(), "lane", "left_anti")
-        open = stay.unionByName(came.where("id is not null"))
-        now = written(open.orderBy("rank", "created", "id").limit(limit), f"{home}/now")
-        written(open.join(now.select("lane", "id"), ["lane", "id"], "left_anti").select(*open.columns), f"{home}/offers/{n % 2}")
-        if not now.isEmpty():
-            work(now.select("id", "rank", F.timestamp_micros(F.expr(f"nullif(created, {NO_DATE + 1} - 1)")).alias("created_at")), n)
-            written(now, f"{home}/taken/{n}")
+        open = in_order(stay.unionByName(came.where("id is not null")), ["rank", "created", "id"], f"{home}/order")
+        done = spark.read.schema("done long").parquet(f"{home}/turns/{(n + 1) % 2}").first()[0]
+        now = written(open.where(F.col("number") < most).withColumn("turn", F.lit(done) + F.expr(f"number div {int(limit)}")), f"{home}/now")
+        written(open.where(F.col("number") >= most).drop("number"), f"{home}/offers/{n % 2}")
+        count = now.count()
+        spark.createDataFrame([(done + -(-count // limit),)], "done long").write.mode("overwrite").parquet(f"{home}/turns/{n % 2}")
+        if count:
+            work(now.select("id", "rank", F.timestamp_micros(F.expr(f"nullif(created, {NO_DATE + 1} - 1)")).alias("created_at"), "turn"), n)
+            written(now.select("lane", "rank", "created", "id"), f"{home}/taken/{n}")
 
     return offers.writeStream.option("checkpointLocation", f"{home}/checkpoint").outputMode("append").foreachBatch(turn).start()

@@ -48,3 +48,17 @@ def test_queue_by_priority_gives_turns_in_the_order_of_the_batch(spark, tmp_path
     want = [r["id"] for r in events.next_jobs(pending, 1000, "x").collect()]
     assert [id for turn in turns[:-1] for id, *_ in turn] == want
     assert all(len(turn) == 10 for turn in turns[:-2]) and [id for id, *_ in turns[-1]] == [900]
+
+
+def test_a_batch_of_the_queue_does_many_turns(spark, tmp_path):
+    jobs = spark.range(95).selectExpr("id", "'x' as dept", "if(id % 3 = 0, 'NORMAL', 'LOW') as priority", "timestamp_seconds(id % 40 * 50000) as created_at")
+    jobs.write.parquet(f"{tmp_path}/in")
+    batches: list[list] = []
+    with increments.rocks(spark):
+        stream = increments.landings(spark, f"{tmp_path}/in", "id long, dept string, priority string, created_at timestamp")
+        query = increments.prioritized(stream, f"{tmp_path}/queue", lambda now, n: batches.append(now.collect()), 10, lanes=3, turns=6)
+        query.processAllAvailable()
+        query.stop()
+    want = [r["id"] for r in events.next_jobs(jobs.withColumn("status", F.lit("PENDING")), 1000).collect()]
+    assert {r["id"]: r["turn"] for batch in batches for r in batch} == {id: i // 10 for i, id in enumerate(want)}
+    assert [len(batch) for batch in batches] == [60, 35]  # a batch per turn before
