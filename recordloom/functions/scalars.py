@@ -119,3 +119,8 @@ def labelled_sections(sections: dict[str, Column], each: int | None = None, whol
     cut = lambda c, n: c if n is None else F.left(c, F.lit(n))
     parts = F.array_compact(F.array(*[F.when(c != "", F.concat(F.lit(f"[{label}] "), cut(c, each))) for label, c in sections.items()]))
     return cut(F.array_join(parts, "\n\n"), whole)
+
+
+def bound(value: Column, said) -> Column:
+    """``said(value)``, with ``value`` computed once, wherever the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), said), F.lit(0))

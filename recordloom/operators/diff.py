@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import change_label, decode_references, natural_key, readable
+from ..functions.scalars import bound
 
 # Labels of modules and where they are in a document. Two labels name the references.
 MODULES = {
@@ -68,11 +69,40 @@ def changed_modules(pairs: DataFrame, labels: str) -> DataFrame:
     return rows.groupBy(*rest, "module_path").agg(F.min("module").alias("module"))
 
 
-def compare(sides: DataFrame, keys: list[str]) -> DataFrame:
-    """Changed leaves of rows (keys…, old, path, value, kind): keys…, path, old_value, new_value. Absent and null are the same."""
-    side = lambda c, old: F.max(F.when(F.col("old") == old, F.col(c)))
-    both = sides.groupBy(*keys, "path").agg(side("value", True).alias("old_value"), side("value", False).alias("new_value"), side("kind", True).alias("_ok"), side("kind", False).alias("_nk"))
-    return both.where("not (old_value <=> new_value and _ok <=> _nk)").drop("_ok", "_nk")
+def _leaves(doc: str, depth: int, side: int) -> str:
+    """The leaves of a document that are not null, as an array of (path, side, value, kind): see ``flatten``."""
+    members = "transform(map_entries(try_variant_get(s.v, '$', 'map<string,variant>')), e -> struct(if(s.path = '', e.key, concat(s.path, '.', e.key)) as path, e.value as v))"
+    elements = "transform(try_variant_get(s.v, '$', 'array<variant>'), (x, i) -> struct(concat(s.path, '[', i, ']') as path, x as v))"
+    start = f"if({doc} is null, cast(array() as array<struct<path: string, v: variant>>), array(struct('' as path, {doc} as v)))"
+    container = "try_variant_get(s.v, '$', 'map<string,variant>') is not null or try_variant_get(s.v, '$', 'array<variant>') is not null"
+    found = f"a{depth}"
+    for k in reversed(range(depth + 1)):  # a level is taken apart only where something is left to take apart
+        inner = start if k == 0 else f"flatten(transform(a{k - 1}, s -> coalesce({members}, {elements}, array(s))))"
+        rest = found if k == depth else f"if(exists(a{k}, s -> {container}), {found}, a{k})"
+        found = f"transform(array({inner}), a{k} -> {rest})[0]"
+    deep = "try_variant_get(s.v, '$', 'map<string,variant>') is not null or try_variant_get(s.v, '$', 'array<variant>') is not null"
+    value = f"if({deep}, raise_error('document nested deeper than {depth} levels'), coalesce(try_variant_get(s.v, '$', 'string'), to_json(s.v)))"
+    kept = f"filter({found}, s -> s.path <> '' and s.v is not null and not is_variant_null(s.v))"
+    return f"transform({kept}, s -> struct(s.path as path, {side} as side, {value} as value, if(schema_of_variant(s.v) = 'STRING', 'text', 'other') as kind))"
+
+
+def compare(rows: DataFrame, keys: list[str], depth: int | None = None) -> DataFrame:
+    """Rows (keys…, _old, _new: two documents) with their changed leaves as an array ``changes`` of (path, old_value, new_value). Absent and null are the same.
+
+    The leaves of both stand in one array, sorted by path, and neighbours are compared: no leaf leaves its row. Of two
+    leaves of one document that have one path the greater counts.
+    """
+    if depth is None:
+        depth = max(1, nesting(rows.select(F.explode(F.array("_old", "_new")).alias("doc")), "doc"))
+    leaves = f"sort_array(concat({_leaves('_old', depth, 0)}, {_leaves('_new', depth, 1)}))"
+    unique = "filter(l, (s, i) -> not coalesce(get(l, i + 1).path = s.path and get(l, i + 1).side = s.side, false))"
+    met = "get(u, i - 1).path = s.path"
+    pair = f"if(s.side = 0, struct(s.path as path, s.value as old_value, cast(null as string) as new_value), struct(s.path as path, if({met}, get(u, i - 1).value, null) as old_value, s.value as new_value))"
+    last = "not coalesce(get(u, i + 1).path = s.path, false)"
+    same = f"coalesce({met} and get(u, i - 1).value = s.value and get(u, i - 1).kind = s.kind, false)"
+    changed = f"filter(transform(u, (s, i) -> if({last} and not {same}, {pair}, null)), c -> c is not null)"
+    # bound names: an array that is looked up in is computed once, wherever the optimizer moves the expression
+    return rows.select(*keys, F.expr(f"transform(transform(array({leaves}), l -> {unique}), u -> {changed})[0]").alias("changes"))
 
 
 def field_changes(pairs: DataFrame, versions: DataFrame, depth: int | None = None) -> DataFrame:
@@ -88,22 +118,26 @@ def field_changes(pairs: DataFrame, versions: DataFrame, depth: int | None = Non
     paths = F.transform(labels, lambda m: F.try_element_at(known, m))
     chosen = F.filter(named, lambda x, i: F.array_position(paths, x["path"]) == i + 1)
     docs = lambda name: versions.select("id", F.col("version").alias(name), F.col("doc").alias(f"_{name}"))
-    cut = lambda c, m: F.try_variant_get(c, F.concat(F.lit("$."), m["path"]), "variant")
 
-    def sides(some: DataFrame, modules: Column) -> DataFrame:
+    def cut(doc: str, m: Column) -> Column:
+        """The module of a document; paths are literals, as one that comes from a column is parsed again in every row."""
+        return F.coalesce(*[F.when(m["path"] == path, F.try_variant_get(doc, F.lit(f"$.{path}"), "variant")) for path in dict.fromkeys(MODULES.values())])
+
+
+    def both(some: DataFrame, modules: Column) -> DataFrame:
         """Both documents of each of ``some`` pairs, cut to ``modules``; equal modules are not taken apart."""
-        both = some.select(*keys, modules.alias("_chosen"))
-        both = both.join(docs("prev_version"), ["id", "prev_version"], "left").join(docs("curr_version"), ["id", "curr_version"], "left")
-        both = both.select(*keys, "_prev_version", "_curr_version", F.explode("_chosen").alias("_m"))
-        both = both.select(*keys, F.col("_m.module").alias("module"), cut("_prev_version", F.col("_m")).alias("_old"), cut("_curr_version", F.col("_m")).alias("_new"))
-        both = both.where(~F.to_json("_old").eqNullSafe(F.to_json("_new")))
-        each = both.select(*keys, "module", F.explode(F.array(F.struct(F.lit(True).alias("old"), F.col("_old").alias("doc")), F.struct(F.lit(False).alias("old"), F.col("_new").alias("doc")))).alias("_s"))
-        return each.select(*keys, "module", "_s.old", "_s.doc").where("doc is not null")
+        rows = some.select(*keys, modules.alias("_chosen"))
+        rows = rows.join(docs("prev_version"), ["id", "prev_version"], "left").join(docs("curr_version"), ["id", "curr_version"], "left")
+        rows = rows.select(*keys, "_prev_version", "_curr_version", F.explode("_chosen").alias("_m"))
+        rows = rows.select(*keys, F.col("_m.module").alias("module"), cut("_prev_version", F.col("_m")).alias("_old"), cut("_curr_version", F.col("_m")).alias("_new"))
+        return rows.where(~F.to_json("_old").eqNullSafe(F.to_json("_new")))
 
     # pairs that don't list places never meet a document for them
-    placed = sides(pairs.where(F.array_contains("module_labels", PLACES)), F.filter(chosen, lambda x: x["module"] == PLACES)).drop("module")
-    others = sides(pairs, F.filter(chosen, lambda x: x["module"] != PLACES))
-    plain = compare(flatten(others, "doc", depth), [*keys, "module"]).withColumnRenamed("path", "field")
+    placed = both(pairs.where(F.array_contains("module_labels", PLACES)), F.filter(chosen, lambda x: x["module"] == PLACES))
+    side = lambda old, doc: F.struct(F.lit(old).alias("old"), F.col(doc).alias("doc"))
+    placed = placed.select(*keys, F.inline(F.array(side(True, "_old"), side(False, "_new")))).where("doc is not null")
+    others = both(pairs, F.filter(chosen, lambda x: x["module"] != PLACES))
+    plain = compare(others, [*keys, "module"], depth).select(*keys, "module", F.inline_outer("changes").alias("field", "old_value", "new_value")).where("field is not null")
     return plain.unionByName(place_changes(placed, keys, depth).withColumn("module", F.lit(PLACES))).select(*keys, "module", "field", "old_value", "new_value")
 
 
@@ -116,14 +150,17 @@ def place_changes(sides: DataFrame, keys: list[str], depth: int | None = None) -
     at = sides.select(*keys, "old", F.posexplode(F.expr("try_variant_get(doc, '$.locations', 'array<variant>')")).alias("_i", "_place"))
     get = lambda p: F.nullif(F.try_variant_get("_place", F.lit(f"$.{p}"), "string"), F.lit(""))
     named = at.withColumn("place", F.coalesce(get("facility"), get("city"), F.concat(F.lit("location_"), "_i"))).withColumn("_said", F.concat_ws(", ", "place", get("city"), get("country")))
-    named = named.groupBy(*keys, "old", "place").agg(F.max_by(F.struct("_said", F.to_json("_place").alias("_json")), "_i").alias("_p")).select(*keys, "old", "place", "_p._said", F.parse_json("_p._json").alias("_place"))
-    here = lambda old: F.max(F.when(F.col("old") == old, F.col("_said")))
-    there = named.groupBy(*keys, "place").agg(here(True).alias("old_value"), here(False).alias("new_value"))
-    moved = there.where("old_value is null or new_value is null").select(*keys, F.when(F.col("old_value").isNull(), "__added__").otherwise("__removed__").alias("field"), "old_value", "new_value")
-    both = there.where("old_value is not null and new_value is not null").select(*keys, "place")
-    leaves = flatten(named.join(both, [*keys, "place"]).select(*keys, "place", "old", "_place"), "_place", depth).where("path not in ('geoPoint.lat', 'geoPoint.lon')")
-    details = compare(leaves, [*keys, "place"]).withColumn("field", F.concat(F.lit("location."), "path", F.lit(" ["), "place", F.lit("]")))
-    return moved.unionByName(details.select(*keys, "field", "old_value", "new_value"))
+    here = lambda old: F.max_by(F.struct("_said", F.to_json("_place").alias("_json")), F.when(F.col("old") == old, F.col("_i")))
+    there = named.groupBy(*keys, "place").agg(here(True).alias("_o"), here(False).alias("_n"))
+    old, new = F.col("_o._said"), F.col("_n._said")
+    moved = F.when(old.isNull() | new.isNull(), F.array(F.struct(F.when(old.isNull(), "__added__").otherwise("__removed__").alias("path"), old.alias("old_value"), new.alias("new_value"))))
+    # one row per place holds both of its sides: those that differ are taken apart there
+    differ = old.isNotNull() & new.isNotNull() & (F.col("_o._json") != F.col("_n._json"))
+    parsed = lambda side: F.parse_json(F.when(differ, F.col(f"{side}._json")))
+    rows = there.where(moved.isNotNull() | differ).select(*keys, "place", moved.alias("_moved"), parsed("_o").alias("_old"), parsed("_n").alias("_new"))
+    detail = lambda c: F.struct(F.concat(F.lit("location."), c["path"], F.lit(" ["), "place", F.lit("]")).alias("path"), c["old_value"].alias("old_value"), c["new_value"].alias("new_value"))
+    details = F.transform(F.filter("changes", lambda c: ~c["path"].isin("geoPoint.lat", "geoPoint.lon")), detail)
+    return compare(rows, [*keys, "place", "_moved"], depth).select(*keys, F.inline_outer(F.coalesce("_moved", details)).alias("field", "old_value", "new_value")).where("field is not null")
 
 
 def result_counts(changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -132,50 +169,58 @@ def result_counts(changes: DataFrame, keys: list[str]) -> DataFrame:
     return changes.groupBy(*keys, "module").agg(F.count_if(old).alias("n_added"), F.count_if(~old & ~new).alias("n_changed"), F.count_if(new).alias("n_removed"))
 
 
-def _line(indent: str, field: Column) -> Column:
-    return F.concat(F.lit(indent), readable(field), F.lit(": "), change_label(F.col("old_value"), F.col("new_value")))
-
-
 def render(changes: DataFrame, keys: list[str]) -> DataFrame:
     """(keys…, field_change_count, field_changes): the changes of a pair as text, one section per module.
 
     Places list what was added, removed and updated; results are counted; outcomes are grouped by number, primary ones
     first; all else is in natural order of the field.
     """
-    field, module = F.col("field"), F.col("module")
-    outcome = (module == "Outcome Measures") & field.rlike(r"(?i)^(primary|secondary)Outcomes\[\d+\]\..")
-    number = F.regexp_extract(field, r"(?i)^\w+Outcomes\[(\d+)\]", 1).try_cast("int")
-    primary = F.lower(field).startswith("primary")
-    rank = F.when(outcome, F.when(primary, 0).otherwise(1)).when(field == "__added__", 0).when(field == "__removed__", 1).otherwise(2)
-    head = (
-        F.when(outcome, F.concat(F.when(primary, "  Primary Outcome #").otherwise("  Secondary Outcome #"), (number + 1).cast("string"), F.lit(":")))
-        .when(module == PLACES, F.when(field == "__added__", "  Added").when(field == "__removed__", "  Removed").otherwise("  Updated details"))
-        .otherwise("")
-    )
-    line = (
-        F.when(outcome, _line("    ", F.regexp_replace(field, r"^\w+\[\d+\]\.", "")))
-        .when(field == "__added__", F.concat(F.lit("    + "), decode_references(F.col("new_value"))))
-        .when(field == "__removed__", F.concat(F.lit("    - "), decode_references(F.col("old_value"))))
-        .when(module == PLACES, _line("    ", field))
-        .otherwise(_line("  ", field))
-    )
-    result = module.isin(RESULTS)
-    old, new = F.col("old_value").isNull(), F.col("new_value").isNull()
-    rows = changes.select(
-        *keys, "module", F.when(result, 0).otherwise(rank).alias("rank"), F.coalesce(F.when(outcome, number), F.lit(0)).alias("number"), F.when(result, "").otherwise(head).alias("head"),
-        F.when(~result, F.struct(natural_key(field).alias("order"), line.alias("line"))).alias("line"), old.alias("added"), (~old & ~new).alias("changed"), new.alias("removed"),
-    )
-    groups = rows.repartition(*[F.col(k) for k in keys]).groupBy(*keys, "module", "rank", "number", "head").agg(  # one shuffle for all three levels
-        F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda s: s["line"]), "\n").alias("lines"),
-        *[F.count_if(c).alias(c) for c in ("added", "changed", "removed")],
-    )
-    said = lambda c, words: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(words)))
-    summary = F.concat(F.lit("  "), F.concat_ws("; ", said("added", " data points added"), said("changed", " values updated"), said("removed", " data points removed")))
-    title = F.when(F.col("head") == "", F.lit("")).when(module == PLACES, F.concat("head", F.lit(" ("), F.col("n").cast("string"), F.lit("):\n"))).otherwise(F.concat("head", F.lit("\n")))
-    text = F.when(result, summary).otherwise(F.concat(title, "lines"))
-    sections = groups.groupBy(*keys, "module").agg(F.sum("n").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "number", text.alias("text")))), lambda s: s["text"]), "\n").alias("body"))
-    whole = sections.withColumn("text", F.concat(F.lit("["), "module", F.lit("]\n"), "body"))
-    return whole.groupBy(*keys).agg(F.sum("n").alias("field_change_count"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("module", "text"))), lambda s: s["text"]), "\n\n").alias("field_changes"))
+
+    def said(c: Column) -> Column:
+        """What one change says, in the order in which changes are told."""
+        field, module, old, new = c["field"], c["module"], c["old_value"], c["new_value"]
+        outcome = (module == "Outcome Measures") & field.rlike(r"(?i)^(primary|secondary)Outcomes\[\d+\]\..")
+        number = F.regexp_extract(field, r"(?i)^\w+Outcomes\[(\d+)\]", 1).try_cast("int")
+        primary = F.lower(field).startswith("primary")
+        rank = F.when(outcome, F.when(primary, 0).otherwise(1)).when(field == "__added__", 0).when(field == "__removed__", 1).otherwise(2)
+        head = (
+            F.when(outcome, F.concat(F.when(primary, "  Primary Outcome #").otherwise("  Secondary Outcome #"), (number + 1).cast("string"), F.lit(":")))
+            .when(module == PLACES, F.when(field == "__added__", "  Added").when(field == "__removed__", "  Removed").otherwise("  Updated details"))
+            .otherwise("")
+        )
+        line = (
+            F.when(field == "__added__", F.concat(F.lit("    + "), decode_references(new)))
+            .when(field == "__removed__", F.concat(F.lit("    - "), decode_references(old)))
+            .otherwise(F.concat(F.when(outcome | (module == PLACES), "    ").otherwise("  "), readable(F.when(outcome, F.regexp_replace(field, r"^\w+\[\d+\]\.", "")).otherwise(field)), F.lit(": "), change_label(old, new)))
+        )
+        result = module.isin(RESULTS)
+        kind = F.when(old.isNull(), 0).when(new.isNull(), 2).otherwise(1)
+        return F.struct(
+            module.alias("module"), F.when(result, 0).otherwise(rank).alias("rank"), F.coalesce(F.when(outcome & ~result, number), F.lit(0)).alias("number"), F.when(result, "").otherwise(head).alias("head"),
+            F.when(~result, natural_key(field)).alias("order"), F.when(~result, line).alias("line"), F.when(result, kind).alias("kind"),
+        )
+
+    # one grouping, in which changes are as they came: nothing longer than they are is shuffled or sorted
+    rows = changes.groupBy(*keys).agg(F.collect_list(F.struct("module", "field", "old_value", "new_value")).alias("_c"))
+
+    def whole(c: Column) -> Column:
+        """The text of all changes, in order."""
+        before = lambda i: F.get(c, i - 1)
+        count = lambda s, name, value: F.size(F.filter(c, lambda x: (x["module"] == s["module"]) & (x[name] == value)))
+        part = lambda s, kind, words: bound(count(s, "kind", kind), lambda n: F.when(n > 0, F.concat(n.cast("string"), F.lit(words))))
+
+        def text(s: Column, i: Column) -> Column:
+            result = s["module"].isin(RESULTS)
+            section = (i == 0) | (before(i)["module"] != s["module"])
+            group = section | (before(i)["rank"] != s["rank"]) | (before(i)["number"] != s["number"]) | (before(i)["head"] != s["head"])
+            summary = F.concat(F.lit("  "), F.concat_ws("; ", part(s, 0, " data points added"), part(s, 1, " values updated"), part(s, 2, " data points removed")))
+            title = F.when(~group | (s["head"] == ""), F.lit("")).when(s["module"] == PLACES, F.concat(s["head"], F.lit(" ("), count(s, "head", s["head"]).cast("string"), F.lit("):\n"))).otherwise(F.concat(s["head"], F.lit("\n")))
+            start = F.when(i == 0, F.lit("")).when(section, F.lit("\n\n")).otherwise(F.lit("\n"))
+            return F.when(result & ~section, None).otherwise(F.concat(start, F.when(section, F.concat(F.lit("["), s["module"], F.lit("]\n"))).otherwise(""), F.when(result, summary).otherwise(F.concat(title, s["line"]))))
+
+        return F.array_join(F.transform(c, text), "")
+
+    return rows.select(*keys, F.size("_c").cast("long").alias("field_change_count"), bound(F.sort_array(F.transform("_c", said)), whole).alias("field_changes"))
 
 
 def comparison_rows(wanted: DataFrame, pairs: DataFrame, index: DataFrame, rendered: DataFrame, failures: DataFrame | None = None, latest: bool = False) -> DataFrame:
