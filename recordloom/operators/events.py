@@ -63,20 +63,35 @@ def date_changes(found: DataFrame, keys: list[str]) -> DataFrame:
     return rows.where("date_field is not null").select(*keys, "date_field", "old_value", "new_value")
 
 
-def histories(found: DataFrame, keys: list[str], order: str) -> dict[str, DataFrame]:
-    """What jobs write: "status" and "phase" (keys…, old_value, new_value), "dates" (with date_field), and "invalidated" (keys…).
+def history_rows(found: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """What jobs write, in one pass: keys…, history ("status", "phase", "dates", "invalidated"), date_field, old_value, new_value.
 
-    ``found`` are events; a job, one per ``keys``, does only the stages that its events need, and no history has a row without a new value.
+    ``found`` are events; a job, one per ``keys``, does only the stages that its events need, and no history has a row
+    without a new value. A job's row holds its first transitions and its changes of dates.
     """
-    needs = job_stages(found.withColumn("stages", stages(F.col("module"), F.col("field_name"))), keys)
-    wants = lambda stage: needs.where(F.array_contains("stages", stage)).select(*keys)
-    known = lambda rows, stage: rows.where("new_value <> ''").join(wants(stage), keys, "left_semi")
-    return {
-        "status": known(transitions(found, keys, "overall status", order), "STATUS_HISTORY"),
-        "phase": known(transitions(found, keys, "phase", order), "PHASE_HISTORY"),
-        "dates": known(date_changes(found, keys), "DATE_HISTORY"),
-        "invalidated": wants("EMBED_INVALIDATE"),
-    }
+    names = F.create_map(*[F.lit(x) for item in DATE_FIELDS.items() for x in item])
+    modified = F.col("change_type") == "MODIFIED"
+    rows = found.withColumn("_stages", stages(F.col("module"), F.col("field_name"))).withColumn("_date", F.when(modified, F.try_element_at(names, F.lower(F.trim("field_name")))))
+    values = F.struct("old_value", "new_value")
+    first = lambda name: F.min_by(values, F.when(modified & (F.col("field_name") == name), F.col(order)))
+    needs = lambda stage: F.bool_or(F.array_contains("_stages", stage))
+    jobs = rows.groupBy(*keys).agg(
+        F.when(needs("STATUS_HISTORY"), first("overall status")).alias("_status"), F.when(needs("PHASE_HISTORY"), first("phase")).alias("_phase"),
+        F.when(needs("DATE_HISTORY"), F.collect_list(F.when(F.col("_date").isNotNull(), F.struct(F.col("_date").alias("date_field"), "old_value", "new_value")))).alias("_dates"), needs("EMBED_INVALIDATE").alias("_embed"),
+    )
+    none = F.lit(None).cast("string")
+    row = lambda history, date, t: F.struct(F.lit(history).alias("history"), date.alias("date_field"), (t["old_value"] if t is not None else none).alias("old_value"), (t["new_value"] if t is not None else none).alias("new_value"))
+    some = F.array(F.when(F.col("_status.new_value") != "", row("status", none, F.col("_status"))), F.when(F.col("_phase.new_value") != "", row("phase", none, F.col("_phase"))), F.when(F.col("_embed"), row("invalidated", none, None)))
+    dates = F.transform(F.filter(F.coalesce("_dates", F.array().cast("array<struct<date_field:string,old_value:string,new_value:string>>")), lambda t: t["new_value"] != ""), lambda t: row("dates", t["date_field"], t))
+    return jobs.select(*keys, F.explode_outer(F.filter(F.concat(some, dates), lambda r: r.isNotNull())).alias("_r")).where("_r is not null").select(*keys, "_r.*")
+
+
+def histories(found: DataFrame, keys: list[str], order: str) -> dict[str, DataFrame]:
+    """What jobs write: "status" and "phase" (keys…, old_value, new_value), "dates" (with date_field), and "invalidated" (keys…): the parts of ``history_rows``."""
+    rows = history_rows(found, keys, order)
+    part = lambda name, *columns: rows.where(F.col("history") == name).select(*keys, *columns)
+    values = ("old_value", "new_value")
+    return {"status": part("status", *values), "phase": part("phase", *values), "dates": part("dates", "date_field", *values), "invalidated": part("invalidated")}
 
 
 def events_of_text(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -85,12 +100,31 @@ def events_of_text(rows: DataFrame, key: str, text: str) -> DataFrame:
     Sections begin with "[Module]". Results make one SUMMARY event a section; lines of places are added (+), removed (-)
     or updated; outcome lines get the number of their outcome before the name.
     """
-    lines = rows.select(key, F.posexplode(F.split(text, r"\R")).alias("pos", "_raw")).withColumn("_line", F.trim("_raw"))
-    order = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    head = F.nullif(F.regexp_extract("_line", r"^\[(.+)\]$", 1), F.lit(""))
-    lines = lines.withColumn("module", F.last(head, ignorenulls=True).over(order)).where(head.isNull() & (F.col("_line") != "") & F.col("module").isNotNull())
-    outcome = F.when(F.col("module") != "Outcome Measures", F.lit("")).when(F.col("_line").rlike(r"(?i)^(Primary|Secondary) Outcome #\d+:$"), F.regexp_replace("_line", r"(?i)^(\w+) Outcome (#\d+):$", "$1 $2."))
-    lines = lines.withColumn("_outcome", F.last(outcome, ignorenulls=True).over(Window.partitionBy(key, "module").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)))
+    raw = rows.select(key, F.transform(F.split(text, r"\R"), lambda x: F.trim(x)).alias("_lines"))
+    named = lambda line: F.nullif(F.regexp_extract(line, r"^\[(.+)\]$", 1), F.lit(""))
+    outcome = r"(?i)^(Primary|Secondary) Outcome #\d+:$"
+
+    def cuts(mark) -> Column:
+        """The places of the lines that ``mark`` finds, and the place after the last line."""
+        return F.concat(F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: mark(F.get("_lines", i))), F.array(F.size("_lines")))
+
+    def pieces(at: str) -> Column:
+        """From each cut to the next: the place of the first line, and the lines."""
+        return F.transform(F.slice(at, 1, F.size(at) - 1), lambda i, k: F.struct(i.alias("at"), F.slice("_lines", i + 1, F.get(at, k + 1) - i).alias("lines")))
+
+    # sections are cut out of their text and the outcomes out of their section within a row; outer forms, as for others the optimizer computes each array twice
+    sections = raw.select(key, "_lines", cuts(lambda x: named(x).isNotNull()).alias("_at")).select(key, F.transform(pieces("_at"), lambda s: s.withField("module", named(F.get(s["lines"], F.lit(0))))).alias("_s"))
+    said = lambda s: F.filter(s["lines"], lambda x: (x != "") & named(x).isNull())
+    of_module = lambda s: F.filter("_s", lambda t: t["module"] == s["module"])
+    summed = lambda s: F.array(F.get(s["lines"], F.lit(0)), F.array_join(F.flatten(F.transform(of_module(s), said)), " "))
+    first = F.filter("_s", lambda s: ~s["module"].isin(RESULTS) | (F.get(of_module(s), F.lit(0))["at"] == s["at"]))
+    first = F.transform(first, lambda s: s.withField("lines", F.when(s["module"].isin(RESULTS), summed(s)).otherwise(s["lines"])))  # results: one line of all
+    sections = sections.select(key, F.inline_outer(first).alias("_start", "_lines", "module"))
+    inner = F.when(F.col("module") == "Outcome Measures", cuts(lambda x: x.rlike(outcome))).otherwise(F.array(F.size("_lines")))
+    sections = sections.withColumn("_at", F.concat(F.array(F.lit(0)), inner)).select(key, "_start", "module", F.inline_outer(pieces("_at")).alias("_from", "_lines"))
+    top = F.get("_lines", F.lit(0))
+    sections = sections.withColumn("_outcome", F.when(top.rlike(outcome) & (F.col("module") == "Outcome Measures"), F.regexp_replace(top, r"(?i)^(\w+) Outcome (#\d+):$", "$1 $2.")))
+    lines = sections.select(key, "_start", "module", "_outcome", "_from", F.posexplode_outer("_lines").alias("_i", "_line")).withColumn("pos", F.col("_start") + F.col("_from") + F.col("_i")).where(named(F.col("_line")).isNull() & (F.col("_line") != ""))
     part = lambda pattern, i: F.nullif(F.trim(F.regexp_extract("_line", pattern, i)), F.lit(""))
     modified, added, removed = r"^(.+?):\s+Old:\s+(.*?)\s+\|\s+New:\s+(.*?)\s*$", r"^(.+?):\s+Added:\s+(.*?)\s*$", r"^(.+?):\s+Removed:\s+(.*?)\s*$"
     summary = F.col("module").isin(RESULTS)
@@ -101,15 +135,12 @@ def events_of_text(rows: DataFrame, key: str, text: str) -> DataFrame:
     )
     mark = place & F.col("_line").rlike(r"^[+-]\s")
     body = F.regexp_replace("_line", r"^[+-]\s+", "")
-    found = lines.withColumn("change_type", kind).where("change_type is not null").select(
+    return lines.withColumn("change_type", kind).where("change_type is not null").select(
         key, "pos", "module", "change_type",
         F.when(summary, "_summary").when(mark, F.lit("location")).otherwise(F.concat(F.coalesce("_outcome", F.lit("")), part(r"^(.+?):\s", 1))).alias("field_name"),
         F.when(mark & (kind == "REMOVED"), body).when(kind == "MODIFIED", part(modified, 2)).when(kind == "REMOVED", part(removed, 2)).alias("old_value"),
         F.when(summary, F.col("_line")).when(mark & (kind == "ADDED"), body).when(kind == "MODIFIED", part(modified, 3)).when(kind == "ADDED", part(added, 2)).alias("new_value"),
     )
-    sums = found.where("change_type = 'SUMMARY'").groupBy(key, "module").agg(F.min("pos").alias("pos"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "new_value"))), lambda s: s["new_value"]), " ").alias("new_value"))
-    sums = sums.select(key, "pos", "module", F.lit("SUMMARY").alias("change_type"), F.lit("_summary").alias("field_name"), F.lit(None).cast("string").alias("old_value"), "new_value")
-    return found.where("change_type <> 'SUMMARY'").unionByName(sums)
 
 
 JOB_TYPES = ["TRIAL_MODIFIED", "NEW_TRIAL", "TRACKING_LIST_ADDED"]

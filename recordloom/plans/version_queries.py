@@ -185,10 +185,7 @@ def wide_pair_report(spark, d):
 @query(f"WITH {_CHANGES}, m AS (SELECT id, arg_min(old_value, curr_version) AS old_value, arg_min(new_value, curr_version) AS new_value FROM c WHERE field = 'overallStatus' GROUP BY id) SELECT 'status' AS history, id, old_value, new_value FROM m UNION ALL SELECT DISTINCT 'invalidated', id, NULL, NULL FROM c")
 def job_histories(spark, d):
     """All histories that a record's events feed, and the records whose documents are invalidated."""
-    found = events.histories(events.events(_changes(spark, d)), ["id"], "curr_version")
-    none = F.lit(None).cast("string")
-    rows = [f.select(F.lit(name).alias("history"), "id", *(("old_value", "new_value") if name != "invalidated" else (none.alias("old_value"), none.alias("new_value")))) for name, f in found.items()]
-    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+    return events.history_rows(events.events(_changes(spark, d)), ["id"], "curr_version").select("history", "id", "old_value", "new_value")
 
 
 @query(f"WITH {_PAIRS} SELECT id, prev_version || '-' || curr_version AS pair, curr_status AS value FROM p")

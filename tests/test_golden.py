@@ -288,3 +288,19 @@ def test_natural_order_of_long_numbers(spark):
     names = ["x[2]", "x[10]", "x[99999999999999999999999]", "x[100000000000000000000000]"]
     df = spark.createDataFrame([(n,) for n in reversed(names)], "p string")
     assert [r["p"] for r in df.orderBy(paths.natural_key(F.col("p"))).collect()] == names
+
+
+def test_a_difference_is_found_in_its_row(spark):
+    """No leaf is shuffled: the only groupings of a rendered difference are by pair, and of places by place."""
+    docs = spark.createDataFrame([("a", "b", "c")], "id string, o string, n string").select("id", F.parse_json(F.lit('{"x":[1,{"y":null,"z":"1"}],"k":{"a":1}}')).alias("_old"), F.parse_json(F.lit('{"x":[1.0,{"z":1,"w":"q"}],"k":[]}')).alias("_new"))
+    found = diff.compare(docs, ["id"]).first()["changes"]
+    assert [tuple(c) for c in found] == [("k.a", "1", None), ("x[1].w", None, "q"), ("x[1].z", "1", "1")]
+    plan = diff.compare(docs.union(docs), ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_histories_read_events_once(spark):
+    found = spark.createDataFrame([("a", 1, "Study Status", "overallStatus", "A", "B"), ("a", 2, "Study Status", "startDateStruct.date", "x", "y"), ("b", 1, "Study Design", "phases[0]", "1", "")], "id string, v int, module string, field string, old_value string, new_value string").repartition(2)
+    rows = events.history_rows(events.events(found), ["id"], "v")
+    assert {tuple(r) for r in rows.collect()} == {("a", "status", None, "A", "B"), ("a", "dates", "start_date", "x", "y"), ("a", "invalidated", None, None, None), ("b", "invalidated", None, None, None)}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 1
