@@ -59,8 +59,8 @@ ODDS, LINKED = {"b": 0.25, "m": 4.0, "": 1.0}, 0.1
 MOST = 0.6
 #: Wrappers that are aligned together in one round.
 ROUND = 16
-#: From so many pages a wrapper forgets optional parts that fewer than one page in so many has.
-PRUNED_FROM, RARE = 100, 50
+#: A wrapper forgets optional parts that fewer than one page in so many has; a part counts for one page at least, so nothing that a page has is rare among so few.
+RARE = 50
 #: Wrappers are broadcast if they have at most so many bytes in all; else pages and wrappers are shuffled by host.
 BROADCAST_BYTES = 32 << 20
 #: A slot counts so many texts; of more, those on the fewest pages are left out and all counts reduced (Misra and Gries).
@@ -279,7 +279,7 @@ def align(a: list[Part], b: list[Part]) -> list[Part]:
                 p.optional = True
                 out.append(p)
     whole = max(p.pages for p in out)
-    return out if whole < PRUNED_FROM else [p for p in out if not p.optional or p.pages * RARE >= whole]
+    return [p for p in out if not p.optional or max(p.pages, 1) * RARE >= whole]
 
 
 def _weight(p: Part) -> float:

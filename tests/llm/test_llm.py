@@ -663,3 +663,15 @@ def test_fitting_licences_is_bounded_whatever_the_sentences_are(odd):
     began, before = time.time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
     licenses.train(long)
     assert time.time() - began < 60 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+
+
+def test_rare_parts_are_forgotten_by_their_share_alone():
+    """No number of pages at which the rule changes: a part on one page in 60 goes from 60 pages as it does from 600."""
+    def aligned(pages, odd):
+        wrapper = []
+        for i in range(pages):
+            more = f"<table><tr><td>odd{i}</td></tr></table>" if i < odd else ""
+            wrapper = html_wrappers.align(wrapper, html_wrappers.fold(html_wrappers.parse(f"<body><div><p>{i}</p></div>{more}</body>")[0]))
+        return any(p.key.startswith("<table") for p in wrapper)
+
+    assert [aligned(60, 1), aligned(600, 10), aligned(40, 1), aligned(400, 10)] == [False, False, True, True]
