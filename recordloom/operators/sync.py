@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .merge import insert_if_absent, missing, upsert
+from .merge import missing, upsert
 from .versions import latest
 
 
@@ -23,7 +23,8 @@ def missing_pairs(tracked: DataFrame, compared: DataFrame, pairs: DataFrame) ->
 def snapshots(history: DataFrame, compared: DataFrame, order: list[str]) -> DataFrame:
     """Rows to append to a history keyed by (id, dept, version): the newest of each key that the history lacks."""
     keys = ["id", "dept", "version"]
-    return insert_if_absent(history, latest(compared, keys, order).select(*history.columns), keys)
+    # ``latest`` leaves one row per key, in the order of the keys: the join neither removes copies nor sorts them again.
+    return latest(compared, keys, order).join(history.select(*keys), keys, "left_anti").select(*history.columns)
 
 
 def state_after(state: DataFrame, runs: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from recordloom.functions import scalars
-from recordloom.operators import match
+from recordloom.operators import match, sync
 from recordloom.plans import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,3 +48,14 @@ def test_one_pattern_finds_what_single_ones_find(spark):
             assert {tuple(r) for r in match.matches(rows, "id", F.col("text"), words, pattern).collect()} == single
             if pattern is match.whole_word:
                 assert {r["id"] for r in match.having_keyword(rows, "id", F.col("text"), words).collect()} == {i for i, _ in single}
+
+
+def test_snapshots_group_the_rows_once(spark, capsys):
+    keys = "id long, dept string, version long, quantity double"
+    rows = spark.createDataFrame([(1, "d", 1, 5.0), (1, "d", 1, 7.0), (1, "d", 1, None), (2, "d", 1, 1.0), (None, "d", 1, 3.0), (None, "d", 1, 2.0), (3, None, 2, None)], keys)
+    history = spark.createDataFrame([(2, "d", 1, 9.0), (3, None, 2, 1.0)], keys)
+    added = sync.snapshots(history, rows, ["quantity"])
+    assert {tuple(r) for r in added.collect()} == {(1, "d", 1, 7.0), (None, "d", 1, 3.0), (3, None, 2, None)} and added.count() == 3
+    added.explain()
+    plan = capsys.readouterr().out
+    assert "Window" in plan and "Aggregate" not in plan  # rows of every key were kept a second time, in two hash tables
