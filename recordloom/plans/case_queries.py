@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import concepts, diff, flatten, normalize
 from ..sources import landing
 from ..streaming import increments
-from .registry import home_of, query, read
+from .registry import dealt, home_of, query, read
 
 
 @query("""WITH m AS (SELECT n_name AS pipeline, CASE WHEN n_nationkey % 4 = 0 THEN DATE '2001-07-20' ELSE DATE '2001-01-01' + CAST(n_nationkey * 9 AS INTEGER) END AS first FROM nation)
@@ -63,7 +63,7 @@ def exact_mentions(spark, d):
     """A marker is matched as written, not as a drug's target, and only with a clinical word within 200 characters."""
     size, far = F.col("p_size"), (F.col("p_partkey") % 100).cast("int")
     said = F.concat(F.when(size % 2 == 0, "EGFR").otherwise("egfr"), F.when(size % 7 == 0, " blocker").otherwise(""), F.repeat(F.lit(" xx"), far), F.lit(" mutation"))
-    texts = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("GENE").alias("concept"), said.alias("text"))
+    texts = dealt(read(spark, d, "part").select("p_partkey", "p_size"), "p_partkey").select(F.col("p_partkey").alias("id"), F.lit("GENE").alias("concept"), said.alias("text"))
     words = spark.createDataFrame([("1", "GENE", "EGFR", "EGFR", 1.0, False)], _WORDS)
     return concepts.concepts(texts, words).select("id", F.array_join("canonicals", "|").alias("names"))
 
@@ -72,7 +72,7 @@ def exact_mentions(spark, d):
 def past_lines(spark, d):
     """A line of therapy after a word of the past is none, unless a clause ends between them or the word is over 100 characters back."""
     said = F.concat(F.lit("prior"), F.repeat(F.lit(" xx"), (F.col("p_partkey") % 60).cast("int")), F.when(F.col("p_size") % 2 == 0, ". ").otherwise(" "), F.lit("second line"))
-    texts = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("LINE_OF_THERAPY").alias("concept"), said.alias("text"))
+    texts = dealt(read(spark, d, "part").select("p_partkey", "p_size"), "p_partkey").select(F.col("p_partkey").alias("id"), F.lit("LINE_OF_THERAPY").alias("concept"), said.alias("text"))
     words = spark.createDataFrame([("1", "LINE_OF_THERAPY", "2L", "second line", 1.0, False)], _WORDS)
     return concepts.concepts(texts, words).select("id", F.array_join("canonicals", "|").alias("names"))
 

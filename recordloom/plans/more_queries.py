@@ -8,7 +8,7 @@ from ..functions import scalars
 from ..operators import classify, concepts, events, flatten, match, merge, reports, sync
 from ..sources import landing
 from ..streaming import increments
-from .registry import home_of, query, read
+from .registry import dealt, home_of, query, read
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)")
@@ -155,7 +155,7 @@ def second_pass(spark, d):
 @query("SELECT p_partkey AS id, CASE WHEN p_size % 2 = 0 THEN 'GOLD' END AS \"METAL\", CASE WHEN p_size % 3 = 0 THEN 'ROUND' END AS \"SHAPE\" FROM part")
 def concept_columns(spark, d):
     """One row per record with a column per concept, ready for a table."""
-    part = read(spark, d, "part")
+    part = dealt(read(spark, d, "part").select("p_partkey", "p_size"), "p_partkey")
     said = part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 2 == 0, "a gold ring").otherwise("no ring").alias("metal"), F.when(F.col("p_size") % 3 == 0, "round").otherwise("").alias("shape"))
     words = spark.createDataFrame([("1", "METAL", "GOLD", "gold; golden", 1.0, True), ("2", "SHAPE", "ROUND", "round", 1.0, False)], "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean")
     return concepts.extraction(said, said.select("id"), words, {"METAL": ["metal"], "SHAPE": ["shape"]})

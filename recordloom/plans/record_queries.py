@@ -9,7 +9,7 @@ from ..functions import paths, scalars
 from ..operators import classify, concepts, events, flatten, match, merge, normalize, redirects, reports, versions
 from ..sources import landing
 from ..streaming import increments
-from .registry import home_of, query, read
+from .registry import dealt, home_of, query, read
 
 _SPLIT = "1996-01-01"
 
@@ -503,7 +503,7 @@ def concept_match(spark, d):
 def negation_filter(spark, d):
     """Mentions that are negated before or after don't count, the others do."""
     said = F.element_at(F.array(F.lit("patients with no egfr mutation"), F.lit("no prior drug. egfr mutation positive"), F.lit("egfr mutation excluded")), (F.col("p_size") % 3 + 1).cast("int"))
-    texts = read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.lit("GENE").alias("concept"), said.alias("text"))
+    texts = dealt(read(spark, d, "part").select("p_partkey", "p_size"), "p_partkey").select(F.col("p_partkey").alias("id"), F.lit("GENE").alias("concept"), said.alias("text"))
     words = spark.createDataFrame([("1", "GENE", "EGFR", "egfr", 1.0, True)], "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean")
     return concepts.concepts(texts, words).select("id", F.array_join("canonicals", "|").alias("names"))
 

@@ -28,6 +28,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str, most: int = 10_000) -> DataFrame:
+    """Rows of a table in few files, each long to work on, dealt by its key to tasks of about ``most`` rows, so that the tasks grow in number with the table."""
+    return rows.repartition(max(1, -(-rows.count() // most)), key)
+
+
 def home_of(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share; without ``spark.checkpoint.dir`` only a local session gets one."""
     root = spark.conf.get("spark.checkpoint.dir", "")

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from recordloom.functions import scalars
-from recordloom.operators import match, sync
-from recordloom.plans import QUERIES
+from recordloom.operators import concepts, match, sync
+from recordloom.plans import QUERIES, registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -59,3 +59,19 @@ def test_snapshots_group_the_rows_once(spark, capsys):
     added.explain()
     plan = capsys.readouterr().out
     assert "Window" in plan and "Aggregate" not in plan  # rows of every key were kept a second time, in two hash tables
+
+
+def test_a_line_end_ends_a_clause_and_blanks_are_no_variant(spark):
+    schema = "id string, concept string, canonical_value string, variants string, confidence double, negation_support boolean"
+    words = spark.createDataFrame([("1", "GENE", "EGFR", "EGFR;\t", 1.0, True)], schema)
+    texts = spark.createDataFrame([(1, "GENE", "no\nEGFR mutation"), (2, "GENE", "no EGFR mutation"), (3, "GENE", "EGFR mutation, not EGFR;EGFR"), (4, "GENE", None), (5, "GENE", "")], "id long, concept string, text string")
+    found = concepts.occurrences(texts, concepts.variants(words))
+    assert sorted((r["id"], r["before"], r["after"]) for r in found.collect()) == [
+        (1, "no\n", " mutation"), (2, "no ", " mutation"), (3, "", " mutation, not EGFR;EGFR"), (3, "EGFR mutation, not ", ";EGFR"), (3, "EGFR mutation, not EGFR;", ""),
+    ]
+    assert sorted(r["id"] for r in found.where(concepts.valid(found)).collect()) == [1, 3, 3]
+
+
+def test_small_tables_of_long_work_are_dealt_to_more_tasks(spark):
+    rows = spark.range(2500).coalesce(1)
+    assert [registry.dealt(rows.limit(n), "id", 1000).rdd.getNumPartitions() for n in (0, 900, 2500)] == [1, 1, 3]
