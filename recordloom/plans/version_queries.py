@@ -247,8 +247,9 @@ def repaired_version_pairs(spark, d):
     """Pairs from keyed state of versions that come in any order, a file at a time: a late one takes its pair back and gives two."""
     home = home_of(spark, "repaired-pairs")
     index(spark, d).select(F.col("id").cast("string").alias("id"), "version").repartition(4, F.hash("id", "version")).write.parquet(f"{home}/in")
+    lanes = max(32, read(spark, d, "events").count() // 25_000)
     with increments.rocks(spark):
-        stream = increments.pair_changes(increments.landings(spark, f"{home}/in", "id string, version long", files=1))
+        stream = increments.pair_changes(increments.landings(spark, f"{home}/in", "id string, version long", files=1), lanes=lanes)
         increments.drain(stream, f"{home}/checkpoint", lambda batch, n: batch.write.mode("overwrite").parquet(f"{home}/out/batch={n}")).awaitTermination()
     pairs = increments.standing_pairs(spark.read.schema(increments.PAIR_CHANGES).parquet(f"{home}/out"))
     return pairs.withColumn("id", F.col("id").cast("long"))

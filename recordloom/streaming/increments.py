@@ -76,35 +76,53 @@ def version_pairs(stream: DataFrame) -> DataFrame:
     return stream.groupBy("id").transformWithStateInPandas(VersionChain(), outputStructType=PAIRS, outputMode="append", timeMode="None")
 
 
-class RepairedChain(StatefulProcessor):
-    """Keeps the versions of one stretch of a key, in order; a version that comes late takes back the pair it falls into and gives two."""
+class RepairedChains(StatefulProcessor):
+    """Keeps the versions of the stretches of a lane, in order; a version that comes late takes back the pair it falls into and gives two."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getValueState("known", "versions array<bigint>")
+        self.known = handle.getValueState("known", "ids array<string>, stretches array<bigint>, counts array<int>, versions array<bigint>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        old = list(self.known.get()[0]) if self.known.exists() else []
-        new = sorted(set(old).union(*(map(int, batch["version"]) for batch in rows)))
-        if len(new) == len(old):
-            return
-        self.known.update((new,))
-        was, now = set(zip(old, old[1:])), set(zip(new, new[1:]))
-        found = [("-", *p) for p in sorted(was - now)] + [("+", *p) for p in sorted(now - was)] + [("ends", new[0], new[-1])]
-        yield pd.DataFrame([(*key, *f) for f in found], columns=["id", "stretch", "op", "prev_version", "curr_version"])
+        known: dict[tuple, list[int]] = {}
+        if self.known.exists():
+            ids, stretches, counts, versions = self.known.get()
+            at = 0
+            for id, stretch, n in zip(ids, stretches, counts):
+                known[id, stretch] = versions[at : at + n]
+                at += n
+        came: dict[tuple, set[int]] = {}
+        for batch in rows:
+            for id, stretch, version in zip(*(batch[c].tolist() for c in ("id", "stretch", "version"))):
+                came.setdefault((id, stretch), set()).add(version)
+        found: list[tuple] = []
+        for place, some in came.items():
+            old = known.get(place, [])
+            new = sorted(some.union(old))
+            if len(new) == len(old):
+                continue
+            known[place] = new
+            was, now = set(zip(old, old[1:])), set(zip(new, new[1:]))
+            found += [(*place, "-", *p) for p in was - now] + [(*place, "+", *p) for p in now - was] + [(*place, "ends", new[0], new[-1])]
+        if found:
+            self.known.update(([i for i, _ in known], [s for _, s in known], [len(v) for v in known.values()], [v for some in known.values() for v in some]))
+            yield pd.DataFrame(found, columns=["id", "stretch", "op", "prev_version", "curr_version"])
 
     def close(self) -> None:
         pass
 
 
-def pair_changes(stream: DataFrame, stretch: int = 1024) -> DataFrame:
+def pair_changes(stream: DataFrame, stretch: int = 1024, lanes: int = 256) -> DataFrame:
     """What new versions (id, version) in any order change about the pairs of consecutive versions.
 
     ``+`` and ``-`` rows are pairs that begin and cease to stand, ``ends`` rows the least and greatest version of a
-    stretch of ``stretch`` version numbers. State is kept by (id, stretch), so that the versions of one id are never in
-    one task. Rows without id or version are left out, repeated ones change nothing.
+    stretch of ``stretch`` version numbers. The stretches of all ids are dealt to ``lanes``, so that the versions of one id
+    are never in one task. State is kept, read and written by lane: a call, which takes some milliseconds by itself, serves many
+    ids, and a batch costs at most what its lanes hold. So ``lanes`` should grow with the versions, some ten thousand to
+    a lane, and stay the same for a checkpoint. Rows without id or version are left out, repeated ones change nothing.
     """
     rows = stream.where("id is not null and version is not null").select(F.col("id").cast("string").alias("id"), F.expr(f"cast(version as bigint) div {int(stretch)}").alias("stretch"), F.col("version").cast("long").alias("version"))
-    return rows.groupBy("id", "stretch").transformWithStateInPandas(RepairedChain(), outputStructType=PAIR_CHANGES, outputMode="append", timeMode="None")
+    lane = F.pmod(F.xxhash64("id", "stretch"), F.lit(lanes)).alias("lane")
+    return rows.select(lane, "id", "stretch", "version").groupBy("lane").transformWithStateInPandas(RepairedChains(), outputStructType=PAIR_CHANGES, outputMode="append", timeMode="None")
 
 
 def standing_pairs(changes: DataFrame) -> DataFrame:

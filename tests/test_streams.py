@@ -26,6 +26,21 @@ def test_versions_in_any_order_give_the_pairs_of_a_batch(spark, tmp_path, stretc
     assert changes.where("op = '-'").count() > 0
 
 
+def test_state_of_pairs_is_kept_for_many_ids_at_once(spark, tmp_path):
+    rows = [(f"r{i}", v) for i in range(200) for v in range(1, 2 + i % 5)] + [("r7", 2000)]
+    random.Random(3).shuffle(rows)
+    for n in range(0, len(rows), 250):
+        spark.createDataFrame(rows[n : n + 250], "id string, version long").coalesce(1).write.parquet(f"{tmp_path}/in/{n:03}")
+    with increments.rocks(spark):
+        stream = spark.readStream.schema("id string, version long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+        query = increments.drain(increments.pair_changes(stream, lanes=3), f"{tmp_path}/checkpoint", lambda batch, n: batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}"))
+        query.awaitTermination()
+    got = [tuple(r) for r in increments.standing_pairs(spark.read.schema(increments.PAIR_CHANGES).parquet(f"{tmp_path}/out")).collect()]
+    want = {tuple(r) for r in versions.pairs(spark.createDataFrame(rows, "id string, version long")).select("id", "prev_version", "curr_version").collect()}
+    assert len(got) == len(want) and set(got) == want
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 3  # one per id before
+
+
 def test_no_versions_no_pairs(spark):
     assert increments.standing_pairs(spark.createDataFrame([], increments.PAIR_CHANGES)).count() == 0
 
